@@ -23,7 +23,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_lines(spark: SparkSession, path: str, max_files: int | None = None,
                  max_bytes: str | None = None) -> DataFrame:
-    """Lines of the files that arrive under ``path``, each file read exactly once.
+    """Lines of a file, or of the files that arrive in a folder, each read exactly once.
 
     A line ends at a line feed, a carriage return or both. ``max_files`` and ``max_bytes`` (such
     as ``"50g"``) bound a micro-batch.
@@ -33,7 +33,14 @@ def stream_lines(spark: SparkSession, path: str, max_files: int | None = None,
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.text(path)
+    return reader.text(file_or_folder(path))
+
+
+def file_or_folder(path: str) -> str:
+    """A path a file stream accepts: it refuses the name of a single file, but not a pattern that
+    only this file (or folder) matches."""
+    path = path.rstrip("/")
+    return path if set(path) & set("*?[{") else f"{path[:-1]}[{path[-1]}]"
 
 
 def read_event_files(spark: SparkSession, path: str) -> DataFrame:
@@ -45,7 +52,8 @@ def stream_event_files(spark: SparkSession, path: str, max_files: int | None = N
     return events(parse_lines(stream_lines(spark, path, max_files, max_bytes)))
 
 
-def _partitioned(parsed: DataFrame) -> DataFrame:
+def table_rows(parsed: DataFrame) -> DataFrame:
+    """``parse_lines`` output with the month it is stored under; 0 without a date."""
     month = F.year(ADDED) * 100 + F.month(ADDED)
     return parsed.withColumn(MONTH, F.coalesce(month, F.lit(0)))
 
@@ -58,7 +66,7 @@ def write_event_table(parsed: DataFrame, path: str, mode: str = "errorifexists",
     months and only its columns. Feeds come in time order, where a task meets few months; for
     shuffled input ``rebalance`` gathers each month, splitting months that are too large.
     """
-    rows = _partitioned(parsed)
+    rows = table_rows(parsed)
     if rebalance:
         rows = rows.hint("rebalance", STATUS, MONTH)
     rows.write.partitionBy(STATUS, MONTH).mode(mode).parquet(path)

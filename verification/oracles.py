@@ -174,3 +174,14 @@ SELECT week, c1, c2, {_TOP_TEXT} AS ranking FROM top GROUP BY week, c1, c2""",
 || '), AvgTone(' || printf('%.6f', round(average, 6)) || ')' AS value FROM h""",
     "text_sink_roundtrip": _PAIR_LINES,
 }
+
+# Streams end with the results of the batch queries; only the last day of a daily sum stays open.
+ORACLES |= {
+    "parse_events_stream": ORACLES["parse_events"],
+    "daily_tone_sum_stream": f"""SELECT * FROM ({_DAILY}) WHERE window_end <=
+(SELECT max(ts) FROM events WHERE event_type = '{C}')""",
+    "weekly_halving_avg_stream": ORACLES["weekly_halving_avg"],
+    "bilateral_tone_stream": ORACLES["bilateral_tone"],
+    "actor_type_top5_stream": ORACLES["actor_type_top5"],
+    "actor_type_top5_touched_stream": ORACLES["actor_type_top5_touched"],
+}
