@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Batches per segment. 2^SEGMENT times a sum must stay a finite double.
+# Batches per segment. Weights within one run from 2^-SEGMENT up to 1.
 SEGMENT = 256
 # A share halved this often is below the smallest double, whatever it was.
 VANISHED = 2200
@@ -23,12 +23,15 @@ def halving_average(sums: DataFrame, key: str, batch: str, value: str,
     rows = sums.withColumn("_segment", F.floor(F.col(batch) / SEGMENT))
     within = Window.partitionBy(key, "_segment").orderBy(batch)
     rows = rows.withColumn("_n", F.row_number().over(within))
-    weighted = F.sum(F.col(value) * F.pow(F.lit(2.0), "_n")).over(within)
-    rows = rows.withColumn("_local", weighted / F.pow(F.lit(2.0), F.col("_n") + 1))
+    weight = F.pow(F.lit(2.0), F.col("_n") - SEGMENT)
+    weighted = F.sum(F.col(value) * weight).over(within)
+    rows = rows.withColumn("_local", weighted / (2 * weight))
 
+    # A segment's rows, at most SEGMENT of them, ride along in an array: no join back to them.
     in_order = Window.partitionBy(key).orderBy("_segment")
     segments = (rows.groupBy(key, "_segment")
-                .agg(F.max("_n").alias("_size"), F.max_by("_local", "_n").alias("_end"))
+                .agg(F.max("_n").alias("_size"), F.max_by("_local", "_n").alias("_end"),
+                     F.collect_list(F.struct(batch, value, "_n", "_local")).alias("_rows"))
                 .withColumn("_total", F.sum("_size").over(in_order)))
     # Earlier segments by their distance in batches: at most VANISHED of them, mostly few.
     near = Window.partitionBy(key).orderBy("_total").rangeBetween(-VANISHED, -1)
@@ -36,8 +39,8 @@ def halving_average(sums: DataFrame, key: str, batch: str, value: str,
     before = F.col("_total") - F.col("_size")
     carry = F.aggregate(earlier, F.lit(0.0), lambda acc, s: acc + s["_end"] * F.pow(
         F.lit(2.0), (s["_total"] - before).cast("double")))
-    segments = segments.withColumn("_carry", carry).select(key, "_segment", "_carry")
-
-    return (rows.join(segments, [key, "_segment"])
-            .withColumn(alias, F.col("_local") + F.col("_carry") / F.pow(F.lit(2.0), "_n"))
-            .drop("_segment", "_n", "_local", "_carry"))
+    # In a select of its own: next to inline, the window would run over the inlined rows.
+    segments = segments.select(key, "_rows", carry.alias("_carry"))
+    folded = segments.select(key, "_carry", F.inline("_rows"))
+    average = F.col("_local") + F.col("_carry") / F.pow(F.lit(2.0), "_n")
+    return folded.select(key, batch, value, average.alias(alias))
