@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 ISO, US = "iso", "us"
 
-_NTZ_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
-_UTC_EPOCH = "timestamp'1970-01-01 00:00:00Z'"
+_DAY_MICROS = 86_400_000_000
 
 
 def week_monday(day: Column, week_start: str = ISO) -> Column:
@@ -38,11 +37,19 @@ def window_monday(window: Column, week_start: str = ISO) -> Column:
     return F.date_add(first, 1) if week_start == US else first
 
 
+# Casts between wall-clock time and instants, and intervals of a day or more, follow the session
+# time zone. Day numbers and intervals below a day do not.
 def instant(wall: Column) -> Column:
     """A date or wall-clock timestamp as the UTC instant, which watermarks need."""
-    return F.expr(_UTC_EPOCH) + (wall.cast("timestamp_ntz") - F.expr(_NTZ_EPOCH))
+    day = wall.cast("date")
+    midnight = F.timestamp_seconds(F.unix_date(day).cast("long") * 86400)
+    return midnight + (wall.cast("timestamp_ntz") - day.cast("timestamp_ntz"))
 
 
 def wall_clock(instant_: Column) -> Column:
     """An instant as UTC wall-clock time; the inverse of ``instant``."""
-    return F.expr(_NTZ_EPOCH) + (instant_ - F.expr(_UTC_EPOCH))
+    micros = F.unix_micros(instant_)
+    rest = F.pmod(micros, F.lit(_DAY_MICROS))
+    day = F.date_from_unix_date(((micros - rest) / _DAY_MICROS).cast("int"))
+    seconds = (rest.cast("decimal(18,0)") / 1_000_000).cast("decimal(18,6)")
+    return day.cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)

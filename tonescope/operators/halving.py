@@ -33,14 +33,17 @@ def halving_average(sums: DataFrame, key: str, batch: str, value: str,
                 .agg(F.max("_n").alias("_size"), F.max_by("_local", "_n").alias("_end"),
                      F.collect_list(F.struct(batch, value, "_n", "_local")).alias("_rows"))
                 .withColumn("_total", F.sum("_size").over(in_order)))
-    # Earlier segments by their distance in batches: at most VANISHED of them, mostly few.
+    # Earlier segments, in order, by their distance in batches: at most VANISHED, mostly few.
     near = Window.partitionBy(key).orderBy("_total").rangeBetween(-VANISHED, -1)
-    earlier = F.collect_list(F.struct("_total", "_end")).over(near)
-    before = F.col("_total") - F.col("_size")
-    carry = F.aggregate(earlier, F.lit(0.0), lambda acc, s: acc + s["_end"] * F.pow(
-        F.lit(2.0), (s["_total"] - before).cast("double")))
+    earlier = F.collect_list(F.struct("_size", "_end")).over(near)
+    carry = F.aggregate(earlier, F.lit(0.0), lambda average, s: (
+        average * F.pow(F.lit(0.5), s["_size"].cast("double")) + s["_end"]))
+    # Infinity and NaN never fade: carry them from any distance.
+    ever = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    endless = F.when(F.isnan("_end") | (F.abs("_end") == float("inf")), F.col("_end"))
+    carry = carry + F.coalesce(F.sum(endless).over(ever), F.lit(0.0))
     # In a select of its own: next to inline, the window would run over the inlined rows.
     segments = segments.select(key, "_rows", carry.alias("_carry"))
     folded = segments.select(key, "_carry", F.inline("_rows"))
-    average = F.col("_local") + F.col("_carry") / F.pow(F.lit(2.0), "_n")
+    average = F.col("_local") + F.col("_carry") * F.pow(F.lit(0.5), "_n")
     return folded.select(key, batch, value, average.alias(alias))

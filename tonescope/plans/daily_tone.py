@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import instant, wall_clock
 from ..operators.aggregates import windowed_sum
 from ..operators.selection import of_country, with_tone
 from ..sources.layout import ADDED, COUNTRY, TONE
@@ -13,13 +12,8 @@ from ..sources.layout import ADDED, COUNTRY, TONE
 
 def daily_tone_sum(events: DataFrame, country: str = "USA", *, key: str = COUNTRY,
                    time: str = ADDED, tone: str = TONE, size: str = "1 day") -> DataFrame:
-    """``key, tone_sum, window_start, window_end`` per non-empty window, in UTC wall-clock time."""
+    """``key, tone_sum, window_start, window_end`` per non-empty window of wall-clock time."""
     chosen = with_tone(of_country(events, country, key), tone)
-    sums = windowed_sum(chosen, instant(F.col(time)), key, tone, size)
-    return window_columns(sums, key)
-
-
-def window_columns(sums: DataFrame, key: str) -> DataFrame:
-    return sums.select(key, "tone_sum",
-                       wall_clock(F.col("span.start")).alias("window_start"),
-                       wall_clock(F.col("span.end")).alias("window_end"))
+    sums = windowed_sum(chosen, F.col(time).cast("timestamp_ntz"), key, tone, size)
+    return sums.select(key, "tone_sum", F.col("span.start").alias("window_start"),
+                       F.col("span.end").alias("window_end"))

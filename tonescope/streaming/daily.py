@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import instant
+from ..functions.times import instant, wall_clock
 from ..operators.aggregates import windowed_sum
 from ..operators.selection import of_country, with_tone
-from ..plans.daily_tone import window_columns
 from ..sources.layout import ADDED, COUNTRY, TONE
 
 
@@ -24,4 +23,5 @@ def daily_tone_stream(events: DataFrame, country: str = "USA", *, key: str = COU
     chosen = with_tone(of_country(events, country, key), tone)
     timed = chosen.select(key, F.col(tone).alias("tone"), instant(F.col(time)).alias("at"))
     sums = windowed_sum(timed.withWatermark("at", delay), F.col("at"), key, "tone", size)
-    return window_columns(sums, key)
+    return sums.select(key, "tone_sum", wall_clock(F.col("span.start")).alias("window_start"),
+                       wall_clock(F.col("span.end")).alias("window_end"))
