@@ -13,7 +13,8 @@ from tonescope.sources.layout import NAMES  # noqa: E402
 def spark():
     session = build_session("tests", "local[4]", {
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"})
+        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g",
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "true"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from tonescope.functions.cells import READERS
 from tonescope.sources import lines
 from tonescope.sources.files import (read_event_files, read_event_table, read_lines,
-                                     read_quarantine_table, stream_event_files, stream_lines,
-                                     write_event_table)
+                                     read_quarantine_table, stream_event_files, stream_event_table,
+                                     stream_lines,                                     write_event_table)
 from tonescope.sources.layout import FIELDS, NAMES
 from tonescope.streaming.jobs import event_table_job
 
@@ -112,10 +112,14 @@ def test_event_table(spark, tmp_path, rows, event_line):
     events = read_event_table(spark, table)
     assert rows(events, "globalEventID", "added_month") == [(1, 202401), (2, 202402)]
     assert rows(read_quarantine_table(spark, table)) == [("bad", "no_date")]
-    month = events.where("added_month = 202402").select("globalEventID")
-    plan = month._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "added_month" in plan.split("PartitionFilters")[1]
-    assert "ReadSchema: struct<globalEventID:int>" in plan
+    day = dt.date(2024, 2, 1)
+    assert rows(read_event_table(spark, table, first=day), "globalEventID") == [(2,)]
+    assert rows(read_event_table(spark, table, last=dt.date(2024, 1, 31)),
+                "globalEventID") == [(1,)]
+    some = read_event_table(spark, table, day, day).select("globalEventID")
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "added_month" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "ReadSchema: struct<globalEventID:int,dateAdded:date>" in plan
 
 
 def test_event_table_job_resumes_without_duplicates(spark, tmp_path, rows, event_line):
@@ -127,3 +131,17 @@ def test_event_table_job_resumes_without_duplicates(spark, tmp_path, rows, event
         event_table_job(parsed, table, checkpoint, None).awaitTermination()
     assert rows(read_event_table(spark, table), "globalEventID") == [(0,), (1,), (2,)]
     assert read_quarantine_table(spark, table).count() == 3
+    streamed = stream_event_table(spark, table, max_files=1).select("globalEventID", "dateAdded")
+    assert rows(_drain(streamed, spark, tmp_path, "from_table")) == [
+        (i, dt.date(2024, 1, 3)) for i in range(3)]
+
+
+def test_micro_batches_by_size(spark, tmp_path, event_line):
+    (tmp_path / "in").mkdir()
+    for i in range(3):
+        (tmp_path / "in" / f"{i}.csv").write_text(event_line(globalEventID=i) + "\n")
+    stream = stream_event_files(spark, str(tmp_path / "in"), max_bytes=100)
+    query = (stream.writeStream.format("noop").trigger(availableNow=True)
+             .option("checkpointLocation", str(tmp_path / "cp")).start())
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1, 1, 1]

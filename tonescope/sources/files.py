@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,11 +24,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_lines(spark: SparkSession, path: str, max_files: int | None = None,
-                 max_bytes: str | None = None) -> DataFrame:
+                 max_bytes: int | None = None) -> DataFrame:
     """Lines of a file, or of the files that arrive in a folder, each read exactly once.
 
-    A line ends at a line feed, a carriage return or both. ``max_files`` and ``max_bytes`` (such
-    as ``"50g"``) bound a micro-batch.
+    A line ends at a line feed, a carriage return or both. One of ``max_files`` and ``max_bytes``
+    may bound a micro-batch.
     """
     reader = spark.readStream
     if max_files:
@@ -48,7 +50,7 @@ def read_event_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_event_files(spark: SparkSession, path: str, max_files: int | None = None,
-                       max_bytes: str | None = None) -> DataFrame:
+                       max_bytes: int | None = None) -> DataFrame:
     return events(parse_lines(stream_lines(spark, path, max_files, max_bytes)))
 
 
@@ -76,9 +78,19 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_STORED_DDL).parquet(path)
 
 
-def read_event_table(spark: SparkSession, path: str) -> DataFrame:
-    """Events of the table; conditions on ``added_month`` (yyyymm) prune its partitions."""
-    return _stored(spark, path).where(F.col(STATUS) == OK).select(*NAMES, MONTH)
+def read_event_table(spark: SparkSession, path: str, first: date | None = None,
+                     last: date | None = None) -> DataFrame:
+    """Events of the table added from ``first`` to ``last``; only their months are read."""
+    stored = _stored(spark, path).where(F.col(STATUS) == OK)
+    if first:
+        stored = stored.where((F.col(MONTH) >= _month(first)) & (F.col(ADDED) >= F.lit(first)))
+    if last:
+        stored = stored.where((F.col(MONTH) <= _month(last)) & (F.col(ADDED) <= F.lit(last)))
+    return stored.select(*NAMES, MONTH)
+
+
+def _month(day: date) -> int:
+    return day.year * 100 + day.month
 
 
 def read_quarantine_table(spark: SparkSession, path: str) -> DataFrame:
