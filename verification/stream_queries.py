@@ -46,11 +46,11 @@ def weekly_halving_avg_stream(spark, sf_dir):
 
 
 def bilateral_tone_stream(spark, sf_dir):
-    """One micro-batch per source file; the last value of every pair."""
+    """The last value of every pair, over micro-batches of many files."""
     landing = work_folder(spark, "landing")
     rows = feeds.tone_events(spark, sf_dir).select("ts", "tone", *feeds.PLACES, *feeds.TYPES)
     rows.write.parquet(landing)
-    stream = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 64)
+    stream = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 10_000)
               .parquet(landing))
     updates = _written(spark, relations.relation_updates(stream, **_TYPED | {"types": ()}),
                        "update")
