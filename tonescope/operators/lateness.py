@@ -15,7 +15,8 @@ def mark_late(events: DataFrame, time: str, batch: str, size: str = "1 day",
 
     A stream drops a row of batch N when the window of the row ends at or before the watermark
     that held before batch N - 1 was read: the latest time of batches up to N - 2, less ``delay``.
-    Both durations must be exact (days or shorter).
+    Both durations must be exact (days or shorter). ``time`` is wall-clock time; rows without one
+    are left out, as they have no window.
     """
     end = F.window(F.col(time), size)["end"]
     late = end <= F.col("_watermark") - F.expr(f"interval {delay}")
