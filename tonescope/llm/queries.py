@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tonescope.session import work_folder
 
-from . import orc_tokens, packing
+from . import exact_dedup, jaccard_join, lm_scoring, mixing, orc_tokens, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,5 +26,24 @@ def op2_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.token_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_orc_tokens)}
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(table(spark, sf_dir, "documents"), k=3,
+                                           percent=90).drop("row")
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_orc_tokens, op5_exact_dedup, op6_mixing,
+                                   op7_lm_scoring, op9_jaccard_join)}
 ORACLES: dict[str, str] = {}
