@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tonescope.session import work_folder
 
-from . import exact_dedup, jaccard_join, lm_scoring, mixing, orc_tokens, packing
+from . import (chat, exact_dedup, jaccard_join, licenses, lm_scoring, minhash, mixing, orc_tokens,
+               packing, quality)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,20 @@ def op2_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.token_digests(spark, path)
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)],
+                                  "conv_id long, turn long, role string, text string")
+    path = work_folder(spark, "chat")
+    chat.format_turns(given.unionByName(extra)).write.parquet(path)
+    return chat.conversation_digests(spark.read.parquet(path))
+
+
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprint(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -39,11 +54,21 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, sf_dir, "documents"), k=3,
                                            percent=90).drop("row")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_orc_tokens, op5_exact_dedup, op6_mixing,
-                                   op7_lm_scoring, op9_jaccard_join)}
-ORACLES: dict[str, str] = {}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_orc_tokens, op3_chat, op4_minhash, op5_exact_dedup, op6_mixing, op7_lm_scoring,
+    op8_licenses, op9_jaccard_join, op10_quality)}
+ORACLES = {"op8_licenses": licenses.scan_sql()}
