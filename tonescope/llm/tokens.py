@@ -14,8 +14,8 @@ from itertools import chain, count, islice
 
 import numpy as np
 
-#: Distinct pieces that a task remembers before it starts afresh (some 100 MB).
-REMEMBERED = 300_000
+#: Distinct pieces that a task remembers before it starts afresh (some 200 MB).
+REMEMBERED = 600_000
 #: The library's pre-token pattern is repeated here for text below this character, whose classes
 #: are the same in all versions of Unicode. Other pieces go to the library whole.
 SETTLED = "ɐ"
@@ -54,45 +54,63 @@ class Encoder:
         self.sizes: list[np.ndarray] = []
         self.ids: list[np.ndarray] = []
         self.known = 0
+        self.pre: defaultdict[str, int] = defaultdict(count().__next__)
+        self.pre_sizes, self.pre_ids = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
 
     def _pieces(self, text: str) -> list[str]:
         # A cut inside a run of white space would change the pre-tokens.
         words = self.cut(text) if self.spaced(text) else text.split(" ")
         return [words[0], *[" " + w for w in words[1:]]]
 
+    def _settled(self, piece: str) -> bool:
+        return piece.isascii() or max(piece) < SETTLED
+
     def _learn(self) -> None:
-        """Encode the pieces that are new since the last call."""
-        distinct: defaultdict[str, int] = defaultdict(count().__next__)
-        others: list[str] = []
-        wanted: list[int] = []
-        per_piece: list[int] = []
+        """Encode the pieces that are new since the last call, by their new pre-tokens."""
+        pre, wanted, per_piece = self.pre, [], []
         for piece in islice(self.index, self.known, None):
-            if piece.isascii() or max(piece) < SETTLED:
+            # A word of letters is one pre-token; so is what goes to the library whole.
+            if piece[1:].isalpha() and piece[0] == " " or not piece or not self._settled(piece):
+                wanted.append(pre[piece])
+                per_piece.append(1)
+            else:
                 found = self.pretokens(piece)
-                wanted += [distinct[p] for p in found]
+                wanted += [pre[p] for p in found]
                 per_piece.append(len(found))
-            else:
-                others.append(piece)
-                wanted.append(-len(others))  # counted from the end
-                per_piece.append(1)
-        sizes, ids = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
-        mapped = [p.encode().decode("latin1").translate(self.alphabet) for p in distinct]
+        self.known = len(self.index)
+        self._learn_pretokens()
+        flat, lengths = _gathered(self.pre_ids[0], self.pre_sizes[0], np.array(wanted, np.int64))
+        bounds = np.concatenate([[0], np.cumsum(lengths)])
+        ends = bounds[np.cumsum(np.array(per_piece, np.int64))]
+        self.sizes.append(np.diff(ends, prepend=0))
+        self.ids.append(flat)
+
+    def _learn_pretokens(self) -> None:
+        new = list(islice(self.pre, sum(map(len, self.pre_sizes)), None))
+        other = [not self._settled(p) for p in new]
+        mapped = [p.replace(" ", "Ġ") if p.isascii() and p.isprintable()
+                  else p.encode().decode("latin1").translate(self.alphabet)
+                  for p, o in zip(new, other, strict=True) if p and not o]
+        sizes, ids = [], []
         for at in range(0, len(mapped), 4096):
             block = mapped[at:at + 4096]
             got = self.model.encode_batch([" ".join(block)], add_special_tokens=False)[0]
             sizes.append(np.bincount(np.array(got.word_ids, np.int64), minlength=len(block)))
             ids.append(np.array(got.ids, np.uint32))
-        for piece in reversed(others):
-            got = self.whole.encode(piece, add_special_tokens=False)
-            sizes.append(np.array([len(got.ids)]))
-            ids.append(np.array(got.ids, np.uint32))
-        flat, lengths = _gathered(np.concatenate(ids), np.concatenate(sizes),
-                                  np.array(wanted, np.int64))
-        bounds = np.concatenate([[0], np.cumsum(lengths)])
-        ends = bounds[np.cumsum(np.array(per_piece, np.int64))]
-        self.sizes.append(np.diff(ends, prepend=0))
-        self.ids.append(flat)
-        self.known = len(self.index)
+        if len(mapped) < len(new):  # back to the order of ``new``
+            flat = np.concatenate([*ids, np.empty(0, np.uint32)])
+            bounds = np.cumsum(np.concatenate([[0], *sizes]).astype(np.int64))
+            at, ids = 0, []
+            for piece, o in zip(new, other, strict=True):
+                if piece and not o:
+                    ids.append(flat[bounds[at]:bounds[at + 1]])
+                    at += 1
+                else:
+                    got = self.whole.encode(piece, add_special_tokens=False)
+                    ids.append(np.array(got.ids, np.uint32))
+            sizes = [np.array([len(i) for i in ids])]
+        self.pre_sizes = [np.concatenate([*self.pre_sizes, *sizes]).astype(np.int64)]
+        self.pre_ids = [np.concatenate([*self.pre_ids, *ids])]
 
     def encode(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, each text (None: empty) followed by ``end``, and the texts' bounds."""
@@ -122,7 +140,7 @@ def _gathered(flat: np.ndarray, sizes: np.ndarray, wanted: np.ndarray):
     return flat[np.repeat(starts[wanted] - at, lengths) + np.arange(lengths.sum())], lengths
 
 
-def slices(texts: list[str | None], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: list[str | None], most: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``most`` characters, at least one row each."""
     start, size = 0, 0
     for i, text in enumerate(texts):
