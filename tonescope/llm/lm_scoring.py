@@ -27,7 +27,7 @@ from tonescope.session import work_folder
 from .words import WordHasher, mix
 
 #: Characters of a chunk, at least one text. More share more words in one request.
-CHUNK_CHARS = 12_000_000
+CHUNK_CHARS = 8_000_000
 #: Hashes of the end and the start of a text: no words, as words are mixed by other numbers.
 END, START = (np.uint64(x) for x in mix(np.array([0xE17D, 0x57A27], np.uint64)))
 
