@@ -99,7 +99,8 @@ def test_chain_of_links(spark):
 
 def test_bitmaps_never_exclude_a_link(spark, messy, plain):
     texts = messy.selectExpr("monotonically_increasing_id() as doc_id", "text")
-    nodes = jaccard_join.sketches(texts, 2, 50, True).where("n > 0")
+    nodes = jaccard_join.sketches(
+        texts, 2, 50, True, jaccard_join.frequent(texts, 2, True)).where("n > 0")
     a = nodes.selectExpr("n as a_n", "bitmap as a_bitmap")
     assert a.withColumnsRenamed({"a_n": "b_n", "a_bitmap": "b_bitmap"}).selectExpr(
         "*", "b_n as a_n", "b_bitmap as a_bitmap").where(~jaccard_join.may_link(100)).count() == 0

@@ -2,8 +2,9 @@
 components that these links form.
 
 1. One pass over the texts gives every document its set size, a 128-bit hash of the set, a bitmap (the
-   parity of its shingles per hash slot) and its prefix: the smallest n - ceil(t n) + 1 hashes. Two
-   sets of similarity t or more share an element of their prefixes.
+   parity of its shingles per hash slot) and its prefix: the first n - ceil(t n) + 1 elements in an
+   order that all documents share. Two sets of similarity t or more share an element of their
+   prefixes, whatever the order is; here a bounded number of frequent shingles come last.
 2. Documents with equal sets are one from here on.
 3. Documents that share a prefix element meet. Each is compared with the first of that element, so a
    group of thousands of near copies costs a comparison per document and element, not per pair.
@@ -33,13 +34,42 @@ from .words import WordHasher, distinct, mix, shingles
 BITMAP = 16
 #: Documents of a tile.
 TILE = 1024
+#: Frequent shingles that the order puts last, at most. Any choice gives the same links.
+FREQUENT = 65_536
 
 _SKETCH = ("row long, doc_id long, n long, low long, high long, prefix array<long>, "
            "bitmap array<long>")
 
 
-def sketches(rows: DataFrame, k: int, percent: int, lower: bool) -> DataFrame:
-    """The first pass. ``rows`` has ``doc_id, text``."""
+def frequent(rows: DataFrame, k: int, lower: bool, most: int = FREQUENT) -> np.ndarray:
+    """Up to ``most`` shingles of many different sets, of all documents; ``rows`` as for ``sketches``.
+
+    A batch names those of its shingles that several of its sets have.
+    """
+    def run(batches) -> Iterator:
+        import pyarrow as pa
+        hasher = WordHasher(lower)
+        for batch in batches:
+            values, sizes = distinct(*shingles(*hasher.words(batch.column(1)), k))
+            sums = np.concatenate([[np.uint64(0)], np.cumsum(values, dtype=np.uint64)])
+            ends = np.cumsum(sizes)
+            _, first = np.unique(sums[ends] - sums[ends - sizes], return_index=True)
+            single = np.zeros(len(sizes), bool)
+            single[first] = True
+            found, counts = np.unique(values[np.repeat(single, sizes)], return_counts=True)
+            keep = counts >= max(3, len(first) // 2000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found[keep].view(np.int64)), pa.array(counts[keep].astype(np.int64))],
+                names=["key", "c"])
+
+    counted = rows.mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    top = counted.orderBy(F.col("c").desc(), "key").limit(most).collect()
+    return np.sort(np.array([r[0] for r in top], np.int64).view(np.uint64))
+
+
+def sketches(rows: DataFrame, k: int, percent: int, lower: bool,
+             late: np.ndarray) -> DataFrame:
+    """The first pass. ``rows`` has ``doc_id, text``; the sorted shingles ``late`` come last in order."""
     def run(batches) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
@@ -60,6 +90,10 @@ def sketches(rows: DataFrame, k: int, percent: int, lower: bool) -> DataFrame:
                 return (sums[ends] - sums[starts]).view(np.int64)
 
             size = np.where(sizes > 0, sizes - -(-sizes * percent // 100) + 1, 0)
+            if len(late):
+                at_late = np.minimum(np.searchsorted(late, values), len(late) - 1)
+                is_late = late[at_late] == values
+                values = values[np.argsort(2 * owners + is_late, kind="stable")]
             take = np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(size.sum())
             offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
@@ -217,7 +251,7 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, lower: bo
     spark: SparkSession = docs.sparkSession
     folder = work_folder(spark, "jaccard")
     texts = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
-    sketches(texts, k, percent, lower).write.parquet(f"{folder}/sketches")
+    sketches(texts, k, percent, lower, frequent(texts, k, lower)).write.parquet(f"{folder}/sketches")
     sketch = spark.read.parquet(f"{folder}/sketches")
 
     # Equal sets are one node, named by the smallest of their rows.
