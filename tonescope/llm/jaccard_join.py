@@ -34,6 +34,8 @@ from .words import WordHasher, distinct, mix, shingles
 BITMAP = 16
 #: Documents of a tile.
 TILE = 1024
+#: Nodes whose texts are looked up by broadcasting their ids (some 40 MB); more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 #: Frequent shingles that the order puts last, at most. Any choice gives the same links.
 FREQUENT = 65_536
 
@@ -135,8 +137,44 @@ def may_link(percent: int) -> Column:
     return overlap * (100 + percent) >= both * percent
 
 
-def linked(pairs: DataFrame, nodes: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of the given similarity: bounds first, then exact intersection."""
+def own_arrays(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, k: int, lower: bool,
+               folder: str) -> DataFrame:
+    """``node, elements``: sorted shingle arrays of the wanted nodes, read from their texts.
+
+    Rows that share an id may differ: size and hash of the set tell which are the node's.
+    """
+    spark = texts.sparkSession
+    wanted = nodes.join(wanted, "node", "left_semi").select(
+        "node", F.col("doc_id").alias("of"), "n", "low")
+    wanted.write.parquet(f"{folder}/wanted")
+    wanted = spark.read.parquet(f"{folder}/wanted")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    rows = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")))
+
+    def run(batches) -> Iterator:
+        import pyarrow as pa
+        hasher = WordHasher(lower)
+        for batch in batches:
+            values, sizes = distinct(*shingles(*hasher.words(batch.column(1)), k))
+            bounds = np.concatenate([[0], np.cumsum(sizes)])
+            sums = np.concatenate([[np.uint64(0)], np.cumsum(values, dtype=np.uint64)])
+            low = (sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64)
+            own = (sizes == batch.column(2).to_numpy()) & (low == batch.column(3).to_numpy())
+            arrays = [values[a:b].tobytes() if o else None
+                      for a, b, o in zip(bounds[:-1], bounds[1:], own, strict=True)]
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(arrays, pa.binary())],
+                                             names=["node", "elements"])
+            yield out.filter(pa.array(own))
+
+    found = rows.select("node", "text", "n", "low").mapInArrow(run, "node long, elements binary")
+    found.dropDuplicates(["node"]).write.parquet(f"{folder}/arrays")
+    return spark.read.parquet(f"{folder}/arrays")
+
+
+def linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, percent: int, lower: bool,
+           folder: str) -> DataFrame:
+    """The pairs ``a, b`` of the given similarity: bitmaps first, then exact intersection."""
     def of(side: str) -> DataFrame:
         return nodes.select(F.col("node").alias(side), F.col("n").alias(f"{side}_n"),
                             F.col("bitmap").alias(f"{side}_bitmap"))
@@ -157,8 +195,14 @@ def linked(pairs: DataFrame, nodes: DataFrame, arrays: DataFrame, percent: int)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     passed = pairs.join(of("a"), "a").join(of("b"), "b").where(may_link(percent)).select("a", "b")
+    passed.write.parquet(f"{folder}/passed")
+    passed = nodes.sparkSession.read.parquet(f"{folder}/passed")
+    wanted = passed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    arrays = own_arrays(texts, nodes, wanted, k, lower, folder)
     whole = passed.join(elements("a"), "a").join(elements("b"), "b")
-    return whole.select("a", "b", "a_elements", "b_elements").mapInArrow(run, "a long, b long")
+    found = whole.select("a", "b", "a_elements", "b_elements").mapInArrow(run, "a long, b long")
+    found.write.parquet(f"{folder}/links")
+    return nodes.sparkSession.read.parquet(f"{folder}/links")
 
 
 def connected(links: DataFrame, folder: str) -> DataFrame:
@@ -265,65 +309,37 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, lower: bo
     nodes = sketch.join(chosen, "row", "left_semi").withColumnRenamed("row", "node")
 
     # Prefix elements that several nodes have.
-    prefixes = nodes.select("node", F.explode("prefix").alias("key"))
-    shared = prefixes.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("first"))
-    shared = shared.where("c > 1").select("key", "first")
-    prefixes.join(shared, "key").write.parquet(f"{folder}/shared")
+    prefixes = nodes.select("node", "n", F.explode("prefix").alias("key"))
+    counted = prefixes.groupBy("key").agg(F.count("*").alias("c"),
+                                          F.min(F.struct("node", "n")).alias("first"))
+    counted = counted.where("c > 1").select("key", "first.node", "first.n").toDF(
+        "key", "first", "first_n")
+    prefixes.join(counted, "key").write.parquet(f"{folder}/shared")
     shared = spark.read.parquet(f"{folder}/shared")
-    met = shared.select("node").distinct()
-    nodes = nodes.join(met, "node", "left_semi").select("node", "doc_id", "n", "low", "high",
-                                                        "bitmap")
-    nodes.write.parquet(f"{folder}/nodes")
-    nodes = spark.read.parquet(f"{folder}/nodes")
-
-    # Texts of one id may differ: the hash of the set tells which is the node's.
-    wanted = nodes.select(F.col("node"), F.col("doc_id").alias("of"))
-    named = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")))
-    arrays = shingle_arrays(named.select("node", "text"), k, lower)
-    if members.where("row = node").groupBy("doc_id").count().where("count > 1").isEmpty():
-        arrays.write.parquet(f"{folder}/arrays")
-    else:
-        _own_arrays(arrays, nodes).write.parquet(f"{folder}/arrays")
-    arrays = spark.read.parquet(f"{folder}/arrays")
-
-    stars = (shared.where("node <> first")
+    nodes = nodes.select("node", "doc_id", "n", "low", "bitmap")
+
+    sizes = F.least("n", "first_n") * 100 >= F.greatest("n", "first_n") * percent
+    stars = (shared.where(F.col("node") != F.col("first")).where(sizes)
              .select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
-    linked(stars, nodes, arrays, percent).write.parquet(f"{folder}/links0")
-    links = spark.read.parquet(f"{folder}/links0")
-    roots = connected(links, f"{folder}/roots0")
-    roots.write.parquet(f"{folder}/rooted0")
+    links = linked(stars, nodes, texts, k, percent, lower, f"{folder}/first")
+    connected(links, f"{folder}/roots0").write.parquet(f"{folder}/rooted0")
     roots = spark.read.parquet(f"{folder}/rooted0")
 
-    placed = (shared.select("key", "node").join(roots, "node", "left")
+    placed = (shared.select("key", "node", "n").join(roots, "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
     apart = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    apart = apart.where("x <> y").select("key")
-    left = (placed.join(apart, "key", "left_semi")
-            .join(nodes.select("node", "n", "bitmap"), "node"))
+    left = placed.join(apart.where("x <> y").select("key"), "key", "left_semi")
+    # A node whose neighbours in size are both too far has nobody of its size in the group.
+    order = Window.partitionBy("key").orderBy("n", "node")
+    near = (F.coalesce(F.lag("n").over(order) * 100 >= F.col("n") * percent, F.lit(False))
+            | F.coalesce(F.col("n") * 100 >= F.lead("n").over(order) * percent, F.lit(False)))
+    left = left.withColumn("near", near).where("near").drop("near")
+    left = left.join(nodes.select("node", "bitmap"), "node")
     rest = tile_candidates(left, percent, tile)
-    linked(rest, nodes, arrays, percent).write.parquet(f"{folder}/links1")
-    links = links.unionByName(spark.read.parquet(f"{folder}/links1"))
+    links = links.unionByName(linked(rest, nodes, texts, k, percent, lower, f"{folder}/rest"))
     roots = connected(links, f"{folder}/roots1")
 
     final = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = final.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return (final.join(least, "root")
             .select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id"))
-
-
-def _own_arrays(arrays: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Of the arrays of all rows that share a node's id, the one with the node's size and hash."""
-    def run(batches) -> Iterator:
-        import pyarrow as pa
-        for batch in batches:
-            keep = []
-            for elements, n, low in zip(batch.column(1), batch.column(2).to_pylist(),
-                                        batch.column(3).to_pylist(), strict=True):
-                values = np.frombuffer(elements.as_buffer(), np.uint64)
-                total = np.array([values.sum(dtype=np.uint64)]).view(np.int64)[0]
-                keep.append(len(values) == n and int(total) == low)
-            yield batch.select(["node", "elements"]).filter(pa.array(keep, pa.bool_()))
-
-    both = arrays.join(nodes.select("node", "n", "low"), "node")
-    own = both.select("node", "elements", "n", "low").mapInArrow(run, "node long, elements binary")
-    return own.groupBy("node").agg(F.min("elements").alias("elements"))
