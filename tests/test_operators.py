@@ -186,7 +186,8 @@ def test_halving_against_plain_fold(spark):
     average = {}
     for k, b, v in sorted(data):
         average[k] = (v + average.get(k, 0.0)) / 2
-        assert math.isclose(got[k, b], average[k], rel_tol=1e-12, abs_tol=1e-300), (k, b)
+        # Below the smallest normal double only the last bits can differ.
+        assert math.isclose(got[k, b], average[k], rel_tol=1e-12, abs_tol=1e-321), (k, b)
 
 
 def test_late_rows_of_one_row_batches(spark, rows):
@@ -219,3 +220,15 @@ def test_late_rows_against_plain_loop(spark):
         late = mark[batch] is not None and end <= mark[batch] - dt.timedelta(days=100)
         assert got[i] == late
     assert 0 < sum(got.values()) < len(data)
+
+
+def test_halving_keeps_tiny_and_huge_values(spark):
+    values = [("tiny", b, 1e-250) for b in range(3)]
+    values += [("huge", b, 1.7e308 if b == 0 else 0.0) for b in range(SEGMENT * 9)]
+    values += [("sparse", b * SEGMENT, float(b)) for b in range(40)]
+    df = spark.createDataFrame(values, "k string, b long, v double")
+    got = {(r.k, r.b): r.a for r in halving_average(df, "k", "b", "v", "a").collect()}
+    average = {}
+    for k, b, v in values:
+        average[k] = (v + average.get(k, 0.0)) / 2
+        assert math.isclose(got[k, b], average[k], rel_tol=1e-9, abs_tol=5e-324), (k, b)

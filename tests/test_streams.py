@@ -200,3 +200,17 @@ def test_work_folder_is_shared_or_local(spark):
     assert work_folder(session("hdfs://shared", "yarn"), "x").startswith("hdfs://shared/x-")
     with pytest.raises(ValueError):
         work_folder(session(None, "yarn"), "x")
+
+
+def test_jobs_write_every_row(spark, tmp_path, event_line, rows):
+    days = [f"{y}{m:02d}{d:02d}" for y, m in ((2024, 1), (2024, 3)) for d in range(1, 31)]
+    lines = [_event(day, "US", "FR", 1.0) for day in days]
+    _feed_file(tmp_path / "in", event_line, "0.csv", *lines)
+    # A second file moves the watermark past the first one's days.
+    _feed_file(tmp_path / "in", event_line, "1.csv", _event("20240410", "US", "FR", 1.0))
+    daily_tone_job(spark, str(tmp_path / "in"), str(tmp_path / "d"), "USA", None, max_files=1,
+                   output=str(tmp_path / "days")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "days")).count() == 60
+    weekly_tone_job(spark, str(tmp_path / "in"), str(tmp_path / "w"), "USA", None,
+                    output=str(tmp_path / "weeks")).awaitTermination()
+    assert sinks.read_text_batches(spark, str(tmp_path / "weeks")).count() == 11

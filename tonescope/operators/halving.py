@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Batches per segment. Weights within one run from 2^-SEGMENT up to 1.
+# Batches per segment.
 SEGMENT = 256
 # A share halved this often is below the smallest double, whatever it was.
 VANISHED = 2200
@@ -20,21 +20,23 @@ def halving_average(sums: DataFrame, key: str, batch: str, value: str,
     compose to such a map again. So segments of batches are folded independently, and only their
     summaries, one row per SEGMENT batches of a key, meet in key order.
     """
+    # At most SEGMENT rows of a segment, in order, folded as they stand.
     rows = sums.withColumn("_segment", F.floor(F.col(batch) / SEGMENT))
-    within = Window.partitionBy(key, "_segment").orderBy(batch)
-    rows = rows.withColumn("_n", F.row_number().over(within))
-    weight = F.pow(F.lit(2.0), F.col("_n") - SEGMENT)
-    weighted = F.sum(F.col(value) * weight).over(within)
-    rows = rows.withColumn("_local", weighted / (2 * weight))
+    rows = rows.groupBy(key, "_segment").agg(F.sort_array(F.collect_list(
+        F.struct(F.col(batch).alias("batch"), F.col(value).alias("value")))).alias("_rows"))
+    halve = lambda averages, row: F.concat(averages, F.array(
+        (row["value"] + F.coalesce(F.try_element_at(averages, F.lit(-1)), F.lit(0.0))) / 2))
+    empty = F.array().cast("array<double>")
+    rows = rows.withColumn("_local", F.aggregate("_rows", empty, halve))
 
-    # A segment's rows, at most SEGMENT of them, ride along in an array: no join back to them.
+    # A segment's rows ride along in arrays: the feed is read once, with no join back to them.
     in_order = Window.partitionBy(key).orderBy("_segment")
-    segments = (rows.groupBy(key, "_segment")
-                .agg(F.max("_n").alias("_size"), F.max_by("_local", "_n").alias("_end"),
-                     F.collect_list(F.struct(batch, value, "_n", "_local")).alias("_rows"))
-                .withColumn("_total", F.sum("_size").over(in_order)))
-    # Earlier segments, in order, by their distance in batches: at most VANISHED, mostly few.
-    near = Window.partitionBy(key).orderBy("_total").rangeBetween(-VANISHED, -1)
+    segments = rows.select(key, "_segment", "_rows", "_local", F.size("_rows").alias("_size"),
+                           F.element_at("_local", -1).alias("_end"))
+    segments = segments.withColumn("_total", F.sum("_size").over(in_order))
+    # Earlier segments, in order. The distance in batches of a segment's end from this segment's
+    # first row is up to SEGMENT less than that of their totals.
+    near = Window.partitionBy(key).orderBy("_total").rangeBetween(-(VANISHED + SEGMENT), -1)
     earlier = F.collect_list(F.struct("_size", "_end")).over(near)
     carry = F.aggregate(earlier, F.lit(0.0), lambda average, s: (
         average * F.pow(F.lit(0.5), s["_size"].cast("double")) + s["_end"]))
@@ -42,8 +44,10 @@ def halving_average(sums: DataFrame, key: str, batch: str, value: str,
     ever = in_order.rowsBetween(Window.unboundedPreceding, -1)
     endless = F.when(F.isnan("_end") | (F.abs("_end") == float("inf")), F.col("_end"))
     carry = carry + F.coalesce(F.sum(endless).over(ever), F.lit(0.0))
-    # In a select of its own: next to inline, the window would run over the inlined rows.
-    segments = segments.select(key, "_rows", carry.alias("_carry"))
-    folded = segments.select(key, "_carry", F.inline("_rows"))
-    average = F.col("_local") + F.col("_carry") * F.pow(F.lit(0.5), "_n")
-    return folded.select(key, batch, value, average.alias(alias))
+    # In a select of its own: next to posexplode, the window would run over the exploded rows.
+    segments = segments.select(key, "_rows", "_local", carry.alias("_carry"))
+    folded = segments.select(key, "_carry", F.posexplode(F.arrays_zip("_rows", "_local"))
+                             .alias("_n", "_row"))
+    average = F.col("_row._local") + F.col("_carry") * F.pow(F.lit(0.5), F.col("_n") + 1)
+    return folded.select(key, F.col("_row._rows.batch").alias(batch),
+                         F.col("_row._rows.value").alias(value), average.alias(alias))

@@ -22,8 +22,8 @@ GROUP = ("week", *PAIR)
 def relation_rows(events: DataFrame, places: Sequence[str], time: str, tone: str,
                   types: Sequence[str] = (), week_start: str = ISO,
                   extra: Sequence[str] = ()) -> DataFrame:
-    """``week, c1, c2, tone`` and the given further columns of every event with a tone."""
-    return with_tone(events, tone).select(
+    """``week, c1, c2, tone`` and the given further columns of every event with a tone and a time."""
+    return with_tone(events, tone).where(F.col(time).isNotNull()).select(
         week_monday(F.col(time), week_start).alias("week"),
         F.col(places[0]).alias("c1"), F.col(places[1]).alias("c2"),
         F.col(tone).alias("tone"), *types, *extra)

@@ -14,26 +14,35 @@ from ..sources.files import MONTH, stream_event_files, table_rows
 from ..sources.lines import STATUS
 from .daily import daily_tone_stream
 from .relations import relation_files, relation_updates
-from .sinks import start_batches, start_console, trigger
+from .sinks import (start_batches, start_console, trigger, write_table_batch,
+                    write_text_batch)
 from .weekly import weekly_halving_stream
 
 
 def daily_tone_job(spark: SparkSession, path: str, checkpoint: str, country: str = "USA",
                    micro_batch_ms: int | None = 1000, delay: str = "0 seconds",
-                   max_files: int | None = None) -> StreamingQuery:
-    """Print the tone sum of every closed day."""
+                   max_files: int | None = None, output: str | None = None) -> StreamingQuery:
+    """Write the tone sum of every closed day as parquet, a folder per micro-batch under ``output``;
+    without ``output``, print them."""
     events = stream_event_files(spark, path, max_files)
-    return start_console(daily_tone_stream(events, country, delay=delay), checkpoint, "append",
-                         micro_batch_ms)
+    days = daily_tone_stream(events, country, delay=delay)
+    if output is None:
+        return start_console(days, checkpoint, "append", micro_batch_ms)
+    return start_batches(days, lambda rows, batch: write_table_batch(rows, output, batch),
+                         checkpoint, "append", micro_batch_ms)
 
 
 def weekly_tone_job(spark: SparkSession, path: str, checkpoint: str, country: str = "USA",
                     micro_batch_ms: int | None = 1000,
-                    max_files: int | None = None) -> StreamingQuery:
-    """Print the halving average of every week a micro-batch touched."""
+                    max_files: int | None = None, output: str | None = None) -> StreamingQuery:
+    """Write the halving average of every week a micro-batch touched as text, a folder per batch
+    under ``output``; without ``output``, print it."""
     events = stream_event_files(spark, path, max_files)
     lines = weekly_lines(weekly_halving_stream(events, country), country)
-    return start_console(lines, checkpoint, "update", micro_batch_ms)
+    if output is None:
+        return start_console(lines, checkpoint, "update", micro_batch_ms)
+    return start_batches(lines, lambda rows, batch: write_text_batch(rows, output, batch),
+                         checkpoint, "update", micro_batch_ms)
 
 
 def relations_job(spark: SparkSession, path: str, output: str, checkpoint: str,

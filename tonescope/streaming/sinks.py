@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 BATCH = "batch"
+#: The console sink wants a number: the greatest that it can add one to.
+EVERY_ROW = 2**31 - 2**10
 
 
 def _folder(prefix: str, batch_id: int) -> str:
@@ -52,8 +54,8 @@ def start_batches(rows: DataFrame, on_batch: Callable[[DataFrame, int], None], c
 
 
 def start_console(rows: DataFrame, checkpoint: str, output_mode: str,
-                  micro_batch_ms: int | None = 1000, shown: int = 10) -> StreamingQuery:
-    """Print the first ``shown`` rows of every micro-batch."""
+                  micro_batch_ms: int | None = 1000) -> StreamingQuery:
+    """Print every row of every micro-batch. They pass through the driver: for small results."""
     writer = (rows.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
-              .format("console").option("numRows", shown).option("truncate", False))
+              .format("console").option("numRows", EVERY_ROW).option("truncate", False))
     return trigger(writer, micro_batch_ms).start()

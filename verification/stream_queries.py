@@ -50,8 +50,7 @@ def bilateral_tone_stream(spark, sf_dir):
     landing = work_folder(spark, "landing")
     rows = feeds.tone_events(spark, sf_dir).select("ts", "tone", *feeds.PLACES, *feeds.TYPES)
     rows.write.parquet(landing)
-    stream = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 10_000)
-              .parquet(landing))
+    stream = spark.readStream.schema(rows.schema).parquet(landing)
     updates = _written(spark, relations.relation_updates(stream, **_TYPED | {"types": ()}),
                        "update")
     return rounded(relations.pair_results(relations.latest(updates)), "mean_tone")
