@@ -122,7 +122,7 @@ def shingles(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray,
     bounds = np.concatenate([[0], np.cumsum(counts)])
     weights = [mix(np.array([j + 1], np.uint64))[0] | np.uint64(1) for j in range(k)]
     full = np.zeros(n, np.uint64)
-    for j in range(k):
+    for j in range(min(k, n)):
         full[:n - j] += words[j:] * weights[j]
     # The window of a short text is cut at its end; its length is part of the hash.
     short = np.flatnonzero((counts > 0) & (counts < k))
