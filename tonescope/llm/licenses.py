@@ -69,8 +69,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     sets = {name: template_set(t) for name, t in sorted((templates or TEMPLATES).items())}
     known = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(len(s)).alias("size"),
                                F.array(*map(F.lit, s)).alias("pairs")) for name, s in sets.items()))
-    low = min(len(s) for s in sets.values()) * threshold / (2 - threshold)
-    high = max(len(s) for s in sets.values()) * (2 - threshold) / threshold
+    # A little wider than the bounds, as a product may be rounded; ``fitting`` decides exactly.
+    low = min(len(s) for s in sets.values()) * threshold / (2 - threshold) - 1e-6
+    high = max(len(s) for s in sets.values()) * (2 - threshold) / threshold + 1e-6
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     lines = F.split("text", "\n")
     units = F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(
@@ -85,8 +86,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
         "doc_id", "line", F.explode(F.array(bigrams(F.col("words")))).alias("pairs"))
     sized = units.where(F.size("pairs").between(low, high)).select(
         "doc_id", "line", "pairs", F.size("pairs").alias("n"))
-    fitting = F.filter(known, lambda t: (F.col("n") * (2 - threshold) >= t["size"] * threshold)
-                       & (t["size"] * (2 - threshold) >= F.col("n") * threshold))
+    # The greatest Dice that the sizes allow, computed as Dice is below.
+    fitting = F.filter(known, lambda t: 2 * F.least("n", t["size"]) / (F.col("n") + t["size"])
+                       >= threshold)
     scored = F.transform(fitting, lambda t: F.struct(
         (2 * F.size(F.array_intersect(F.col("pairs"), t["pairs"])) / (F.col("n") + t["size"]))
         .alias("dice"), t["name"].alias("license")))
