@@ -64,7 +64,8 @@ def in_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     rows = rows.withColumn("at", F.coalesce(F.col("doc_id").cast("double"), F.lit(-1e300)))
     cuts = rows.select("at").approxQuantile("at", [i / buckets for i in range(1, buckets)],
                                             1 / (4 * buckets)) if buckets > 1 else []
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    # A table without rows has no cuts, and a Bucketizer wants one.
+    splits = [-float("inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     dealt = Bucketizer(splits=splits, inputCol="at", outputCol="bucket").transform(rows)
     dealt = dealt.withColumn("bucket", F.col("bucket").cast("int"))
     # One number per bucket, of a bounded number of buckets.
@@ -77,7 +78,7 @@ def in_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
              .groupBy("bucket", "doc_id", "at").agg(F.min("head.text").alias("text"))
              .select("bucket", F.lit(1).alias("halo"), "doc_id", "at", "text"))
     both = dealt.select("bucket", F.lit(0).alias("halo"), "doc_id", "at", "text").unionByName(heads)
-    order = Window.partitionBy("bucket").orderBy("halo", "at", "text")
+    order = Window.partitionBy("bucket").orderBy("halo", "at", "doc_id", "text")
     return both.select("bucket", "halo", "doc_id", "text", F.lead("text").over(order).alias("next"))
 
 
