@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tonescope.session import work_folder
 
-from . import (chat, exact_dedup, jaccard_join, licenses, lm_scoring, minhash, mixing, orc_tokens,
-               packing, quality)
+from . import (chat, conversation_repair, exact_dedup, jaccard_join, licenses, line_dedup, lm_scoring,
+               minhash, mixing, orc_tokens, packing, periodic_runs, quality)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,7 +68,31 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired_digests(table(spark, sf_dir, "conversations"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    found = periodic_runs.find_runs(planted).withColumn(
+        "best", periodic_runs.strongest(F.col("runs")))
+    milli = F.floor(1000 * F.col("best.length") / F.col("best.period"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+        "best.period", milli.alias("exponent_milli"),
+        F.sha2(periodic_runs.runs_text(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_orc_tokens, op3_chat, op4_minhash, op5_exact_dedup, op6_mixing, op7_lm_scoring,
-    op8_licenses, op9_jaccard_join, op10_quality)}
-ORACLES = {"op8_licenses": licenses.scan_sql()}
+    op8_licenses, op9_jaccard_join, op10_quality, op11_line_dedup, op12_conversation_repair,
+    op13_periodic_runs)}
+ORACLES = {"op8_licenses": licenses.scan_sql(), "op11_line_dedup": line_dedup.line_sql(),
+           "op12_conversation_repair": conversation_repair.repair_sql(),
+           "op13_periodic_runs": periodic_runs.runs_sql()}
