@@ -14,7 +14,8 @@ from tonescope.session import work_folder
 from tonescope.sources.files import read_event_files
 from tonescope.streaming import sinks
 from tonescope.streaming.daily import daily_tone_stream
-from tonescope.streaming.jobs import daily_tone_job, relations_job, weekly_tone_job
+from tonescope.streaming.jobs import (daily_tone_job, relations_job, results_folder,
+                                      weekly_tone_job)
 from tonescope.streaming.relations import (latest, pair_results, relation_updates, type_results,
                                            UPDATES_DDL)
 from tonescope.streaming.weekly import weekly_halving_stream
@@ -169,16 +170,16 @@ def test_relations_job_from_files(spark, tmp_path, rows, event_line):
         (1, "US;FR;2024-01-01;[(GOV,2,3.25)]")]
 
 
-def test_console_jobs_run_and_resume(spark, tmp_path, event_line):
-    source, printed = tmp_path / "in", {"daily": 0, "weekly": 0}
+def test_jobs_write_by_default_print_besides_and_resume(spark, tmp_path, event_line, capsys):
+    source, jobs = tmp_path / "in", {"daily": daily_tone_job, "weekly": weekly_tone_job}
     for i, day in enumerate(("20240103", "20240110", "20240117")):
         _feed_file(source, event_line, f"{i}.csv", _event(day, "US", "FR", 8.0))
-        for name, job in (("daily", daily_tone_job), ("weekly", weekly_tone_job)):
-            query = job(spark, str(source), str(tmp_path / name), "USA", None)
-            query.awaitTermination()
-            printed[name] += sum(max(0, json.loads(p.json)["sink"]["numOutputRows"])
-                                 for p in query.recentProgress)
-    assert printed == {"daily": 2, "weekly": 3}  # the third day is still open
+        for name, job in jobs.items():
+            job(spark, str(source), str(tmp_path / name), "USA", None, show=1).awaitTermination()
+    days = spark.read.parquet(results_folder(str(tmp_path / "daily")))
+    weeks = sinks.read_text_batches(spark, results_folder(str(tmp_path / "weekly")))
+    assert (days.count(), weeks.count()) == (2, 3)  # the third day is still open
+    assert "AvgTone(4.0)" in capsys.readouterr().out
     assert read_event_files(spark, str(source)).count() == 3
 
 

@@ -2,40 +2,50 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .committed import (BATCH, FEED, batch_folder, commit, committed_batches, is_committed,
+                        live_folders, read_committed, read_folders, written)
 from .layout import ADDED, EVENT_DDL, NAMES
 from .lines import LINE, OK, STATUS, events, parse_lines
 
 MONTH = "added_month"
+DATA = "data"
+#: The feed of gathered folders; no other feed's name begins with a plus.
+GATHERED = "+gathered"
 _STORED_DDL = f"{EVENT_DDL}, {LINE} string, {STATUS} string, {MONTH} int"
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, *kept: str) -> DataFrame:
     """Lines of a file, folder or glob, ended by a line feed; one carriage return before it is
-    cut off. Large files are split over many tasks."""
-    lines = spark.read.text(path, lineSep="\n")
-    cut = F.expr("substring(value, 1, length(value) - 1)")
-    return lines.select(
-        F.when(F.endswith("value", F.lit("\r")), cut).otherwise(F.col("value")).alias("value"))
+    cut off. Large files are split over many tasks. ``kept`` are hidden columns to keep besides."""
+    return _uncut(spark.read.text(path, lineSep="\n"), *kept)
 
 
 def stream_lines(spark: SparkSession, path: str, max_files: int | None = None,
                  max_bytes: int | None = None) -> DataFrame:
-    """Lines of a file, or of the files that arrive in a folder, each read exactly once.
+    """The same lines of a file, or of the files that arrive in a folder, each read exactly once.
 
-    A line ends at a line feed, a carriage return or both. One of ``max_files`` and ``max_bytes``
-    may bound a micro-batch.
+    One of ``max_files`` and ``max_bytes`` may bound a micro-batch, in whole files
+    (``sources.deliveries`` cuts a file).
     """
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.text(file_or_folder(path))
+    return _uncut(reader.text(file_or_folder(path), lineSep="\n"))
+
+
+def _uncut(lines: DataFrame, *kept: str) -> DataFrame:
+    cut = F.expr("substring(value, 1, length(value) - 1)")
+    return lines.select(F.when(F.endswith("value", F.lit("\r")), cut)
+                        .otherwise(F.col("value")).alias("value"), *kept)
 
 
 def file_or_folder(path: str) -> str:
@@ -60,22 +70,37 @@ def table_rows(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn(MONTH, F.coalesce(month, F.lit(0)))
 
 
-def write_event_table(parsed: DataFrame, path: str, mode: str = "errorifexists",
-                      rebalance: bool = False) -> None:
-    """Store ``parse_lines`` output, events and quarantined lines, in one pass over the input.
+def write_event_table(parsed: DataFrame, path: str, feed: str = "load", batch: int = 0,
+                      rebalance: bool = False) -> bool:
+    """Store ``parse_lines`` output, events and quarantined lines, as one batch of a feed.
 
-    The table is partitioned by status and month, so a later query on a time range reads only its
+    The batch counts from its commit record on (``sources.committed``). A batch that is recorded
+    already is left as it is, and the result is False: loading the same file again under its name adds
+    nothing. Feeds, batch loads and streams may write to one table at the same time.
+
+    A batch is partitioned by status and month, so a later query on a time range reads only its
     months and only its columns. Feeds come in time order, where a task meets few months; for
     shuffled input ``rebalance`` gathers each month, splitting months that are too large.
     """
+    spark = parsed.sparkSession
+    if is_committed(spark, path, feed, batch):
+        return False
     rows = table_rows(parsed)
     if rebalance:
         rows = rows.hint("rebalance", STATUS, MONTH)
-    rows.write.partitionBy(STATUS, MONTH).mode(mode).parquet(path)
+    _store(rows, batch_folder(path, DATA, feed, batch))
+    commit(spark, path, feed, batch, written(spark, path, DATA, feed, batch))
+    return True
+
+
+def _store(rows: DataFrame, folder: str) -> None:
+    # static: what a crash left behind goes, whatever the session says about overwriting.
+    (rows.write.partitionBy(STATUS, MONTH).mode("overwrite")
+     .option("partitionOverwriteMode", "static").parquet(folder))
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_STORED_DDL).parquet(path)
+    return read_committed(spark, path, DATA, _STORED_DDL)
 
 
 def read_event_table(spark: SparkSession, path: str, first: date | None = None,
@@ -98,10 +123,52 @@ def read_quarantine_table(spark: SparkSession, path: str) -> DataFrame:
             .select(LINE, F.col(STATUS).alias("reason")))
 
 
+def compact_event_table(spark: SparkSession, path: str, target_bytes: int = 256 << 20) -> int:
+    """Gather the small folders of each status and month into files of about ``target_bytes``; the
+    number of folders replaced.
+
+    A folder is small below half of the target. The new files count, and the old ones no longer do,
+    from one commit record on: a run that is stopped changes nothing, one that is repeated finds
+    nothing to do, and of two at the same time one fails. Readers that have listed the old files may
+    finish with them, so they are not deleted here.
+    """
+    small = {}
+    for row in live_folders(spark, path, DATA):
+        if row.bytes < target_bytes / 2:
+            month = re.search(f"{STATUS}=([^/]*)/{MONTH}=([^/]*)$", row.folder).groups()
+            small.setdefault(month, []).append(row)
+    small = {month: rows for month, rows in small.items() if len(rows) > 1}
+    if not small:
+        return 0
+    folders = [row.folder for rows in small.values() for row in rows]
+    done = [n for feed, n in committed_batches(spark, path) if feed == GATHERED]
+    number, attempt = max(done, default=-1) + 1, f"{GATHERED}-{uuid.uuid4().hex}"
+
+    # Each month is dealt to as many tasks as it fills files; a task may serve several months.
+    files = {month: -(-sum(row.bytes for row in rows) // target_bytes)
+             for month, rows in small.items()}
+    count = F.create_map(*[F.lit(x) for (status, month), n in files.items()
+                           for x in (f"{status}/{month}", n)])
+    of_month = F.element_at(count, F.concat_ws("/", STATUS, F.col(MONTH).cast("string")))
+    share = F.pmod(F.xxhash64(LINE, *NAMES[:4], "sourceUrl"), of_month)
+    rows = read_folders(spark, path, DATA, folders, _STORED_DDL).drop(FEED, BATCH)
+    dealt = rows.repartition(sum(files.values()), STATUS, MONTH, share)
+    _store(dealt, batch_folder(path, DATA, attempt, number))
+    commit(spark, path, GATHERED, number, written(spark, path, DATA, attempt, number),
+           replaced=[(DATA, folder) for folder in folders], mode="errorifexists")
+    return len(folders)
+
+
 def stream_event_table(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """The event table as a stream: what several queries over one feed should share, since each
-    then reads a few columns and none parses text again."""
-    reader = spark.readStream.schema(_STORED_DDL)
+    then reads a few columns and none parses text again.
+
+    A file source cannot ask the records: it sees a batch when its files arrive, each row in the folder
+    it first came in. A batch that a crash keeps from its record is written, and seen, again.
+    """
+    reader = spark.readStream.schema(f"{_STORED_DDL}, {FEED} string, {BATCH} long")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path).where(F.col(STATUS) == OK).select(*NAMES)
+    base = f"{path.rstrip('/')}/{DATA}"
+    stored = reader.option("basePath", base).parquet(f"{base}/{FEED}=[^+]*")
+    return stored.where(F.col(STATUS) == OK).select(*NAMES)

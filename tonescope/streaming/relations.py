@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import ISO, instant, week_window, window_monday
@@ -13,9 +13,12 @@ from ..operators.fanout import directed
 from ..operators.selection import UNKNOWN, or_unknown
 from ..plans.relations import (GROUP, PAIR, bilateral_lines, rank_types, ranking_lines,
                                relation_rows, type_lists)
+from ..sources.committed import BATCH, FEED, commit, is_committed, query_feed, read_committed
 from ..sources.layout import ACTOR_TYPES, ADDED, PLACES, TONE
-from .sinks import write_text_batch
+from .sinks import use_up, write_text_batch
 
+#: The outputs of ``relation_files``.
+PAIR_LINES, TYPE_LINES = "bilateral_relationships", "week"
 UPDATES_DDL = "week date, actor_type string, c1 string, c2 string, n long, tone_sum double"
 
 
@@ -81,16 +84,33 @@ def latest(updates: DataFrame, batch: str = "batch") -> DataFrame:
             .select("week", "actor_type", *PAIR, "newest.n", "newest.tone_sum"))
 
 
-def relation_files(output: str, k: int = 5,
-                   digits: int | None = None) -> Callable[[DataFrame, int], None]:
-    """Write each batch as text: ``bilateral_relationships`` and ``week``, a folder per batch."""
+def relation_files(output: str, k: int = 5, digits: int | None = None,
+                   checkpoint: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Write each batch as text: ``bilateral_relationships`` and ``week``, a folder per batch.
+
+    With the query's ``checkpoint`` the two outputs of a batch count together, from one record on:
+    ``read_relation_lines`` never shows one without the other, wherever a run was stopped.
+    """
     def on_batch(updates: DataFrame, batch_id: int) -> None:
+        spark = updates.sparkSession
+        feed = query_feed(spark, checkpoint) if checkpoint else None
+        if feed and is_committed(spark, output, feed, batch_id):
+            use_up(updates)
+            return
         updates.persist()  # two outputs, one update of the state
         try:
-            write_text_batch(bilateral_lines(pair_results(updates), digits),
-                             f"{output}/bilateral_relationships", batch_id)
-            write_text_batch(ranking_lines(type_list_results(updates, k), digits),
-                             f"{output}/week", batch_id)
+            for name, lines in ((PAIR_LINES, bilateral_lines(pair_results(updates), digits)),
+                                (TYPE_LINES, ranking_lines(type_list_results(updates, k), digits))):
+                write_text_batch(lines, f"{output}/{name}" + (f"/{FEED}={feed}" if feed else ""),
+                                 batch_id)
         finally:
             updates.unpersist()
+        if feed:
+            folder = f"{FEED}={feed}/{BATCH}={batch_id}"
+            commit(spark, output, feed, batch_id, [(PAIR_LINES, folder, None), (TYPE_LINES, folder, None)])
     return on_batch
+
+
+def read_relation_lines(spark: SparkSession, output: str, name: str) -> DataFrame:
+    """``value, feed, batch``: the lines of one output of ``relation_files``, of recorded batches."""
+    return read_committed(spark, output, name, "value string", "text")

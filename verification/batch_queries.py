@@ -13,7 +13,8 @@ from tonescope.operators.selection import of_country, or_unknown, with_both
 from tonescope.plans import daily_tone, relations, weekly_tone
 from tonescope.session import work_folder
 from tonescope.sources import lines
-from tonescope.sources.files import read_event_table, read_quarantine_table, write_event_table
+from tonescope.sources.files import (read_event_files, read_event_table, read_quarantine_table,
+                                     write_event_table)
 from tonescope.streaming.sinks import read_text_batches, write_text_batch
 
 from . import feeds
@@ -44,9 +45,7 @@ def cell_errors(spark, sf_dir):
     return lines.cell_errors(feeds.rule_lines(spark, sf_dir))
 
 
-def event_table_roundtrip(spark, sf_dir):
-    path = work_folder(spark, "event-table")
-    write_event_table(lines.parse_lines(feeds.odd_lines(spark, sf_dir)), path)
+def event_table_summary(spark, path):
     kept = read_event_table(spark, path).select("globalEventID", "sourceUrl", "added_month")
     bad = read_quarantine_table(spark, path)
     return (kept.select(F.lit("ok").alias("status"), "added_month", "globalEventID", "sourceUrl")
@@ -56,6 +55,19 @@ def event_table_roundtrip(spark, sf_dir):
                  F.sum("globalEventID").alias("id_sum")))
 
 
+def event_table_roundtrip(spark, sf_dir):
+    path = work_folder(spark, "event-table")
+    write_event_table(lines.parse_lines(feeds.odd_lines(spark, sf_dir)), path)
+    return event_table_summary(spark, path)
+
+
+def parse_events_files(spark, sf_dir):
+    """The lines as files, read by the bounded scan."""
+    folder = work_folder(spark, "lines")
+    feeds.event_lines(spark, sf_dir).repartition(3).write.text(folder)
+    return read_event_files(spark, folder)
+
+
 def country_filter(spark, sf_dir):
     return of_country(feeds.events(spark, sf_dir), feeds.COUNTRY, "event_type").select(
         "event_id", "event_type", "value")
@@ -159,6 +171,7 @@ def text_sink_roundtrip(spark, sf_dir):
 
 QUERIES = {
     "parse_events": parse_events,
+    "parse_events_files": parse_events_files,
     "parse_rules": parse_rules,
     "quarantine": quarantine,
     "cell_errors": cell_errors,

@@ -11,6 +11,7 @@ COUNTRY = "click"
 PLACES = ("c1", "c2")
 TYPES = ("a1_type1", "a1_type2", "a1_type3", "a2_type1", "a2_type2", "a2_type3")
 BATCHES = 4
+DELIVERIES = 6
 
 # Runs unchanged in Spark and in DuckDB.
 TONE_EVENTS = """
@@ -91,8 +92,19 @@ def cells() -> dict[str, Column]:
     return {name: _cell_text(name, kind) for name, kind in FIELDS}
 
 
-def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select(F.concat_ws("\t", *cells().values()).alias("value"))
+def event_lines(spark: SparkSession, sf_dir: str, *kept: str) -> DataFrame:
+    return events(spark, sf_dir).select(F.concat_ws("\t", *cells().values()).alias("value"), *kept)
+
+
+def quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with ``quarter``, 0 to 3, by time: event ids ascend with it."""
+    rows = events(spark, sf_dir)
+    n = rows.count()
+    return rows.withColumn("quarter", F.floor((F.col("event_id") - _first_id(rows)) * 4 / n).cast("int"))
+
+
+def _first_id(rows: DataFrame) -> int:
+    return rows.agg(F.min("event_id")).first()[0]
 
 
 # Good and bad cells: per class event_id % 8, the text of a cell and the SQL of what it means.
@@ -120,7 +132,7 @@ def rule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select(F.concat_ws("\t", *line.values()).alias("value"))
 
 
-def odd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def odd_lines(spark: SparkSession, sf_dir: str, *kept: str) -> DataFrame:
     """By event_id % 8: whole, 57 fields, 40 fields, 59 fields, blank, bad date, one surplus empty
     field, spaces only."""
     texts = list(cells().values())
@@ -132,7 +144,7 @@ def odd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("\t", *texts[:added], F.lit("20189999"), *texts[added + 1:]),
         F.concat_ws("\t", *texts, F.lit("")), F.lit("   "))
     return events(spark, sf_dir).select(
-        F.get(shapes, (F.col("event_id") % 8).cast("int")).alias("value"))
+        F.get(shapes, (F.col("event_id") % 8).cast("int")).alias("value"), *kept)
 
 
 ODD_REASONS = {2: "no_date", 3: "too_many_fields", 4: "blank", 5: "no_date", 7: "blank"}

@@ -80,15 +80,25 @@ FROM b JOIN w ON b.batch = w.batch"""
 _WEEKLY = f"""SELECT {_week('ts')} AS week, round(sum(value), 6) AS tone_sum
 FROM events WHERE event_type = '{C}' GROUP BY 1"""
 
-_HALVING = f"""
-WITH s AS (SELECT {_week('ts')} AS week, event_id % {B} AS batch, sum(value) AS s
-           FROM events WHERE event_type = '{C}' GROUP BY 1, 2),
+
+
+def _halving(batch: str) -> str:
+    """CTE ``h``: the average of a week after each batch; ``batch`` is over ``events``."""
+    return f"""
+WITH b AS (SELECT *, {batch} AS batch FROM events),
+s AS (SELECT {_week('ts')} AS week, batch, sum(value) AS s
+      FROM b WHERE event_type = '{C}' GROUP BY 1, 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY week ORDER BY batch) - 1 AS k FROM s),
 h AS (SELECT week, batch, sum(s * pow(2, k)) OVER (PARTITION BY week ORDER BY batch)
              / pow(2, k + 1) AS average FROM k)
 """
 
 
+_HALVING = _halving(f"event_id % {B}")
+_DELIVERY = f"""(row_number() OVER (ORDER BY event_id) - 1)
+// CAST(ceil(count(*) OVER () / {feeds.DELIVERIES}) AS BIGINT)"""
+
+
 def _pairs(week_start: str) -> str:
     return f"""
 WITH t AS ({feeds.TONE_EVENTS}),
@@ -146,6 +156,7 @@ _TOP5_LINES = _types() + _TOP + f""" SELECT c1 || ';' || c2 || ';' || strftime(w
 
 ORACLES = {
     "parse_events": _parse_events(),
+    "parse_events_files": _parse_events(),
     "parse_rules": _parse_rules(),
     "quarantine": _QUARANTINE,
     "cell_errors": _cell_errors(),
@@ -185,3 +196,70 @@ ORACLES |= {
     "actor_type_top5_stream": ORACLES["actor_type_top5"],
     "actor_type_top5_touched_stream": ORACLES["actor_type_top5_touched"],
 }
+
+# The numbers of the batches are those of the deliveries; a pair shows where a batch touched it.
+_RUNNING = _types(batch=f"(l_orderkey + l_linenumber) % {B}") + """
+sums AS (SELECT batch, week, c1, c2, actor_type, count(*) AS n, sum(tone) AS s FROM legs
+         GROUP BY batch, week, c1, c2, actor_type),
+touched AS (SELECT DISTINCT batch, week, c1, c2 FROM sums),
+run AS (SELECT t.batch, t.week, t.c1, t.c2, s.actor_type, CAST(sum(n) AS BIGINT) AS n, sum(s) AS s
+        FROM touched t JOIN sums s ON t.week = s.week AND t.c1 = s.c1 AND t.c2 = s.c2
+        AND s.batch <= t.batch GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY batch, week, c1, c2
+                                        ORDER BY n DESC, actor_type) AS rank FROM run)
+SELECT batch, week, c1, c2, actor_type, n, round(s / n, 6) AS mean_tone,
+       CAST(rank AS INT) AS rank FROM ranked WHERE rank <= 5"""
+
+_QUARTERS = """(SELECT *, CAST(floor((event_id - min(event_id) OVER ()) * 4 / count(*) OVER ()) AS INT)
+AS quarter FROM events)"""
+_LATE_DAYS = f"""SELECT * FROM ({_DAILY.replace("FROM events", f"FROM {_QUARTERS}").replace(
+    "GROUP BY", "AND quarter <> 1 GROUP BY")})
+WHERE window_end <= (SELECT max(ts) FROM events WHERE event_type = '{C}')"""
+_TWO_FEEDS = f"""SELECT * FROM ({_DAILY}) WHERE window_end <= (SELECT min(latest) FROM (
+SELECT max(ts) AS latest FROM events WHERE event_type = '{C}' GROUP BY event_id % 2))"""
+
+_WEEK_LINES = f"""SELECT 'Country({C}), Week(' || strftime({_week('ts', 'us')}, '%Y-%m-%d') ||
+'), AvgTone(' || printf('%.6f', round(sum(value) / 2, 6)) || ')' AS value
+FROM events WHERE event_type = '{C}' GROUP BY {_week('ts', 'us')}"""
+
+_TOP3_US = (_types("us").replace("'UKNOWN'", "'NONE'") + _TOP.replace("rank <= 5", "rank <= 3") + f"""
+SELECT c1 || ';' || c2 || ';' || strftime(week, '%Y-%m-%d') || ';' || {_TOP_TEXT} AS value
+FROM top GROUP BY week, c1, c2""")
+
+# Both text outputs of each batch: running values of what the batch touched.
+_BATCH = f"(l_orderkey + l_linenumber) % {B}"
+_FILES = _TOUCHED.replace("SELECT batch, week, c1, c2, actor_type, n, round(s / n, 6) AS mean_tone,\n"
+                          "       CAST(rank AS INT) AS rank FROM ranked WHERE rank <= 5", "") + f""",
+known AS (SELECT {_week('ts')} AS week, c1, c2, tone, {_BATCH} AS batch FROM t
+          WHERE c1 IS NOT NULL AND c2 IS NOT NULL),
+two AS (SELECT week, c1, c2, tone, batch FROM known
+        UNION ALL SELECT week, c2 AS c1, c1 AS c2, tone, batch FROM known),
+brought AS (SELECT batch, week, c1, c2, count(*) AS n, sum(tone) AS s FROM two
+            GROUP BY batch, week, c1, c2),
+pairs AS (SELECT batch, week, c1, c2, sum(s) OVER so_far / sum(n) OVER so_far AS mean FROM brought
+          WINDOW so_far AS (PARTITION BY week, c1, c2 ORDER BY batch)),
+top AS (SELECT *, s / n AS mean FROM ranked WHERE rank <= 5)
+SELECT 'bilateral_relationships' AS output, batch, c1 || ';' || c2 || ';' ||
+       strftime(week, '%Y-%m-%d') || ';' || printf('%.6f', round(mean, 6)) AS value FROM pairs
+UNION ALL
+SELECT 'week' AS output, batch, c1 || ';' || c2 || ';' || strftime(week, '%Y-%m-%d') || ';' ||
+       {_TOP_TEXT} AS value FROM top GROUP BY batch, week, c1, c2"""
+
+ORACLES |= {
+    "parse_events_interval_stream": ORACLES["parse_events"],
+    "event_table_two_feeds": _EVENT_TABLE,
+    "event_table_compacted": _EVENT_TABLE,
+    "daily_tone_sum_late_stream": _LATE_DAYS,
+    "daily_tone_two_feeds_stream": _TWO_FEEDS,
+    "daily_tone_job_lines": f"""SELECT * FROM ({_DAILY}) WHERE window_end <=
+(SELECT max(CAST(ts AS DATE)) FROM events WHERE event_type = '{C}')""",
+    "weekly_tone_job_lines": _WEEK_LINES,
+    "weekly_halving_file_stream": _halving(_DELIVERY) + """SELECT week, batch,
+round(average, 6) AS average FROM h""",
+    "bilateral_tone_log_stream": ORACLES["bilateral_tone"],
+    "bilateral_tone_feeds": ORACLES["bilateral_tone"],
+    "actor_type_top5_sums_stream": ORACLES["actor_type_top5"],
+    "actor_type_top5_running_stream": _RUNNING,
+    "relations_job_us": _TOP3_US,
+    "relation_files_stream": _FILES,
+}
