@@ -10,8 +10,9 @@ components that these links form.
    group of thousands of near copies costs a comparison per document and element, not per pair.
 4. Elements whose documents are still in different components are cut into tiles of neighbouring set
    sizes. Tiles whose sizes allow similarity t meet in numpy: the bits in which two bitmaps differ
-   are a lower bound of the different elements, so an upper bound of the overlap. Only pairs that
-   pass are intersected exactly, as sorted arrays.
+   are a lower bound of the different elements, so an upper bound of the overlap. Pairs that pass are
+   bounded once more by bitmaps that grow with the set, and only then intersected exactly, as sorted
+   arrays.
 
 Every pair of similarity t shares an element and is in one component after 3 or looked at in 4, so no
 link is lost that a component needs.
@@ -34,8 +35,10 @@ from .words import WordHasher, distinct, mix, shingles
 BITMAP = 16
 #: Documents of a tile.
 TILE = 1024
-#: Nodes whose texts are looked up by broadcasting their ids (some 40 MB); more are joined by a shuffle.
-BROADCAST_ROWS = 500_000
+#: Pairs of rows compared at a time.
+PAIRS = 1 << 18
+#: Bits per element of the larger bitmaps.
+SPARSE = 4
 #: Frequent shingles that the order puts last, at most. Any choice gives the same links.
 FREQUENT = 65_536
 
@@ -137,9 +140,27 @@ def may_link(percent: int) -> Column:
     return overlap * (100 + percent) >= both * percent
 
 
+def large_bitmap(values: np.ndarray) -> bytes:
+    """Parity of the elements per hash slot, with SPARSE to twice as many slots per element."""
+    slots = 1 << max(10, (SPARSE * max(len(values), 1) - 1).bit_length())
+    slot = mix(values ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(slots - 1)
+    parity = np.bincount(slot.astype(np.int64), minlength=slots) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+
+
+def bits_differ(left: np.ndarray, right: np.ndarray) -> int:
+    """In how many slots two large bitmaps differ, as 64-bit words: a lower bound of the different
+    elements. The larger is folded: slots that agree in their low bits add up."""
+    left, right = (left, right) if len(left) <= len(right) else (right, left)
+    while len(right) > len(left):
+        right = right[:len(right) // 2] ^ right[len(right) // 2:]
+    return int(np.bitwise_count(left ^ right).sum())
+
+
 def own_arrays(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, k: int, lower: bool,
                folder: str) -> DataFrame:
-    """``node, elements``: sorted shingle arrays of the wanted nodes, read from their texts.
+    """``node, n, large, elements``: large bitmaps and sorted shingle arrays of the wanted nodes, read
+    from their texts.
 
     Rows that share an id may differ: size and hash of the set tell which are the node's.
     """
@@ -147,9 +168,8 @@ def own_arrays(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, k: int, lo
     wanted = nodes.join(wanted, "node", "left_semi").select(
         "node", F.col("doc_id").alias("of"), "n", "low")
     wanted.write.parquet(f"{folder}/wanted")
+    # A slim table of its own, whose size the planner knows: it is broadcast only if it is small.
     wanted = spark.read.parquet(f"{folder}/wanted")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
     rows = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")))
 
     def run(batches) -> Iterator:
@@ -161,28 +181,52 @@ def own_arrays(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, k: int, lo
             sums = np.concatenate([[np.uint64(0)], np.cumsum(values, dtype=np.uint64)])
             low = (sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64)
             own = (sizes == batch.column(2).to_numpy()) & (low == batch.column(3).to_numpy())
-            arrays = [values[a:b].tobytes() if o else None
-                      for a, b, o in zip(bounds[:-1], bounds[1:], own, strict=True)]
-            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(arrays, pa.binary())],
-                                             names=["node", "elements"])
-            yield out.filter(pa.array(own))
+            found = [values[bounds[i]:bounds[i + 1]] for i in np.flatnonzero(own)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).filter(pa.array(own)), batch.column(2).filter(pa.array(own)),
+                 pa.array([large_bitmap(v) for v in found], pa.binary()),
+                 pa.array([v.tobytes() for v in found], pa.binary())],
+                names=["node", "n", "large", "elements"])
 
-    found = rows.select("node", "text", "n", "low").mapInArrow(run, "node long, elements binary")
+    found = rows.select("node", "text", "n", "low").mapInArrow(
+        run, "node long, n long, large binary, elements binary")
     found.dropDuplicates(["node"]).write.parquet(f"{folder}/arrays")
     return spark.read.parquet(f"{folder}/arrays")
 
 
 def linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, percent: int, lower: bool,
            folder: str) -> DataFrame:
-    """The pairs ``a, b`` of the given similarity: bitmaps first, then exact intersection."""
+    """The pairs ``a, b`` of the given similarity: bitmaps first, small and then large ones, then
+    exact intersection."""
+    spark = nodes.sparkSession
+
     def of(side: str) -> DataFrame:
         return nodes.select(F.col("node").alias(side), F.col("n").alias(f"{side}_n"),
                             F.col("bitmap").alias(f"{side}_bitmap"))
 
-    def elements(side: str) -> DataFrame:
-        return arrays.select(F.col("node").alias(side), F.col("elements").alias(f"{side}_elements"))
+    def stored(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
 
-    def run(batches) -> Iterator:
+    def met(pairs: DataFrame, column: str) -> DataFrame:
+        """``a, b`` with ``column`` of both, which leaves the arrays of few pairs to be moved."""
+        sides = [arrays.select(F.col("node").alias(side), F.col("n").alias(f"{side}_n"),
+                               F.col(column).alias(f"{side}_{column}")) for side in ("a", "b")]
+        return pairs.join(sides[0], "a").join(sides[1], "b").select(
+            "a", "b", f"a_{column}", f"b_{column}", "a_n", "b_n")
+
+    def may_match(batches) -> Iterator:
+        import pyarrow as pa
+        for batch in batches:
+            keep = []
+            for x, y, n, m in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist(),
+                                  batch.column(5).to_pylist(), strict=True):
+                differ = bits_differ(np.frombuffer(x.as_buffer(), np.uint64),
+                                     np.frombuffer(y.as_buffer(), np.uint64))
+                keep.append((n + m - differ) * (100 + percent) >= 2 * (n + m) * percent)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    def match(batches) -> Iterator:
         import pyarrow as pa
         for batch in batches:
             keep = []
@@ -195,14 +239,11 @@ def linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, percent
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     passed = pairs.join(of("a"), "a").join(of("b"), "b").where(may_link(percent)).select("a", "b")
-    passed.write.parquet(f"{folder}/passed")
-    passed = nodes.sparkSession.read.parquet(f"{folder}/passed")
+    passed = stored(passed, "passed")
     wanted = passed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     arrays = own_arrays(texts, nodes, wanted, k, lower, folder)
-    whole = passed.join(elements("a"), "a").join(elements("b"), "b")
-    found = whole.select("a", "b", "a_elements", "b_elements").mapInArrow(run, "a long, b long")
-    found.write.parquet(f"{folder}/links")
-    return nodes.sparkSession.read.parquet(f"{folder}/links")
+    passed = stored(met(passed, "large").mapInArrow(may_match, "a long, b long"), "likely")
+    return stored(met(passed, "elements").mapInArrow(match, "a long, b long"), "links")
 
 
 def connected(links: DataFrame, folder: str) -> DataFrame:
@@ -255,29 +296,71 @@ def tile_candidates(rows: DataFrame, percent: int, tile: int) -> DataFrame:
     dealt = (tiled.join(cells, ["key", "tile"])
              .select("key", "tile_a", "tile_b", "tile", "node", "n", "root", "bitmap"))
 
-    def run(table):
+    def run(batches) -> Iterator:
         import pyarrow as pa
-        node, n, root = (table[c].to_numpy() for c in ("node", "n", "root"))
-        bits = table["bitmap"].combine_chunks().values.to_numpy().reshape(-1, BITMAP).view(np.uint64)
-        tiles = table["tile"].to_numpy()
-        first, second = table["tile_a"][0].as_py(), table["tile_b"][0].as_py()
-        left, right = np.flatnonzero(tiles == first), np.flatnonzero(tiles == second)
-        found_a, found_b = [], []
-        for i in left:
-            other = right[node[right] > node[i]] if first == second else right
-            other = other[root[other] != root[i]]
-            both = n[other] + n[i]
-            differ = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1)
-            overlap = np.minimum((both - differ.astype(np.int64)) / 2, np.minimum(n[other], n[i]))
-            other = other[overlap * (100 + percent) >= both * percent]
-            found_a.append(np.full(len(other), node[i]))
-            found_b.append(node[other])
-        a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (found_a, found_b))
-        return pa.table({"a": np.minimum(a, b).astype(np.int64),
-                         "b": np.maximum(a, b).astype(np.int64)})
-
-    return (dealt.groupBy("key", "tile_a", "tile_b").applyInArrow(run, "a long, b long")
-            .distinct())
+        held = []
+        for batch in batches:
+            held.append(batch)
+            table = pa.Table.from_batches(held)
+            cell = _cells(table)
+            last = int(np.flatnonzero(cell == cell[-1])[0])  # this cell may go on in the next batch
+            if last:
+                yield from _met(table.slice(0, last), cell[:last], percent)
+                held = table.slice(last).combine_chunks().to_batches()
+        if held:
+            table = pa.Table.from_batches(held)
+            yield from _met(table, _cells(table), percent)
+
+    by_cell = ["key", "tile_a", "tile_b"]
+    return (dealt.repartition(*by_cell).sortWithinPartitions(*by_cell, "tile", "n", "node")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
+def _cells(table) -> np.ndarray:
+    """A number per row that changes where the next cell of two tiles begins."""
+    fresh = np.zeros(len(table), bool)
+    for name in ("key", "tile_a", "tile_b"):
+        column = table[name].to_numpy()
+        fresh[1:] |= column[1:] != column[:-1]
+    return np.cumsum(fresh)
+
+
+def _met(table, cell: np.ndarray, percent: int, pairs: int = PAIRS) -> Iterator:
+    """The pairs that sizes and bitmaps allow in whole cells, ordered by tile and size.
+
+    In a cell of one tile a row meets those behind it, else the first tile's rows meet the second's;
+    either way the others are ordered by size, and are no smaller."""
+    import pyarrow as pa
+    node, n, root, tile, first, second = (
+        table[c].to_numpy() for c in ("node", "n", "root", "tile", "tile_a", "tile_b"))
+    flat = table["bitmap"].combine_chunks().flatten()
+    bits = flat.to_numpy().view(np.uint64).reshape(-1, BITMAP)
+    alone = first == second
+    # Sides of cells are ascending stretches of sizes; one search finds where each row's others end.
+    side = 2 * cell + (~alone & (tile == second))
+    base = int(n.max()) + 1
+    place = side * base + n
+    other = np.where(alone, side, 2 * cell + 1)
+    most = np.minimum(n * 100 // percent, base - 1)
+    stop = np.searchsorted(place, other * base + most, "right")
+    start = np.where(alone, np.arange(len(n)) + 1, np.searchsorted(place, other * base, "left"))
+    counts = np.where(alone | (tile == first), np.maximum(stop - start, 0), 0)
+    before = np.concatenate([[0], np.cumsum(counts)])
+    for low in range(0, int(before[-1]), pairs):
+        number = np.arange(low, min(low + pairs, int(before[-1])))
+        a = np.searchsorted(before, number, "right") - 1
+        b = start[a] + number - before[a]
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+        both = n[a] + n[b]
+        differ = np.zeros(len(a), np.int64)
+        for column in range(BITMAP):
+            differ += np.bitwise_count(bits[a, column] ^ bits[b, column])
+        overlap = np.minimum((both - differ) / 2, n[a])
+        keep = overlap * (100 + percent) >= both * percent
+        x, y = node[a[keep]], node[b[keep]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))],
+                                         names=["a", "b"])
 
 
 def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, lower: bool = True,
@@ -337,9 +420,12 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, lower: bo
     left = left.join(nodes.select("node", "bitmap"), "node")
     rest = tile_candidates(left, percent, tile)
     links = links.unionByName(linked(rest, nodes, texts, k, percent, lower, f"{folder}/rest"))
-    roots = connected(links, f"{folder}/roots1")
+    connected(links, f"{folder}/roots1").write.parquet(f"{folder}/rooted1")
+    roots = spark.read.parquet(f"{folder}/rooted1")
 
     final = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = final.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # A written table: the join then has plain exchanges, and a large component can be split.
+    final.groupBy("root").agg(F.min("doc_id").alias("component_id")).write.parquet(f"{folder}/least")
+    least = spark.read.parquet(f"{folder}/least")
     return (final.join(least, "root")
             .select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id"))

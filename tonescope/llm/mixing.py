@@ -99,20 +99,21 @@ def land(chance: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0,
         weights: tuple[float, ...] = (3.0, 1.0, 2.0), doc_id: str = "doc_id", text: str = "text",
-        source: str = "source", block_docs: int = BLOCK_DOCS) -> DataFrame:
+        source: str = "source", block_docs: int = BLOCK_DOCS, row: str | None = None) -> DataFrame:
     """``doc_id, row, size, source, source_size, target, taken, copies`` of every row.
 
     ``size`` is the number of words, ``taken`` the words that the mix takes: ``copies`` times size.
     No document has more than ``most`` (rounded up) copies. Reruns agree: rows are ordered by id, size and
     a hash of the text; rows equal in all of these are interchangeable. A null text has no words and
     a source without words a target of 0. A null source is one source, the last. An empty table
-    gives no rows. Other columns are not read.
+    gives no rows. ``row`` names a column of numbers of the caller's that tell all rows apart, which
+    come back under that name; without it rows get numbers here. Other columns are not read.
     """
     spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "mix")
     slim = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[source].alias("source"),
                        word_count(docs[text]).alias("size"),
-                       F.xxhash64(docs[text]).alias("hash"))
-    slim = slim.withColumn("row", F.monotonically_increasing_id())
+                       F.xxhash64(docs[text]).alias("hash"),
+                       (docs[row] if row else F.monotonically_increasing_id()).alias("row"))
     slim.write.parquet(f"{folder}/rows")
     slim = spark.read.parquet(f"{folder}/rows")
 
@@ -175,5 +176,5 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0,
         extra = extra.unionByName(more)
     copies = F.col("whole") + F.coalesce("extra", F.lit(0))
     return (joined.join(extra, "row", "left")
-            .select("doc_id", "row", "size", "source", "source_size", "target",
+            .select("doc_id", F.col("row").alias(row or "row"), "size", "source", "source_size", "target",
                     (F.col("size") * copies).alias("taken"), copies.alias("copies")))
