@@ -6,13 +6,35 @@ one's documents. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonescope.llm import exact_dedup, jaccard_join, mixing, packing, quality
-from tonescope.session import work_folder
+from tonescope.session import collected_folders, remove_folders, work_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Work folders of the stage before, by session.
+_left_over: dict[int, list[str]] = {}
+
+
+def _stage(function: Stage) -> Stage:
+    """A stage whose work folders go when the next stage starts from its written result."""
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        before = _left_over.pop(id(spark), [])
+        read = docs.inputFiles() if before else []
+        # A caller that has not written the result still needs them.
+        if not any(folder in path for path in read for folder in before):
+            remove_folders(spark, before)
+        with collected_folders() as folders:
+            result = function(spark, docs, sf_dir)
+        _left_over[id(spark)] = folders
+        return result
+    return run_stage
 
 
 def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -22,6 +44,7 @@ def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@_stage
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the neighbours' vote does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -29,6 +52,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.accepted(docs.select(*COLUMNS), model)
 
 
+@_stage
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the smallest id."""
     numbered = _numbered(spark, docs)
@@ -39,6 +63,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return (numbered.join(best.select("best._row"), "_row", "left_semi").select(*COLUMNS))
 
 
+@_stage
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar texts: five words, 0.8 or more."""
     numbered = _numbered(spark, docs)
@@ -47,15 +72,17 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return numbered.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
+@_stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mixture takes it."""
     numbered = _numbered(spark, docs)
-    copies = mixing.mix(numbered, doc_id="_row").select(F.col("doc_id").alias("_row"), "copies")
+    copies = mixing.mix(numbered, row="_row").select("_row", "copies")
     return (numbered.join(copies, "_row")
             .withColumn("_copy", F.explode(F.expr("sequence(1, greatest(copies, 0) + 1)")))
             .where("_copy <= copies").select(*COLUMNS))
 
 
+@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of training sequences, with their ids."""
     return packing.pack(docs)
@@ -74,4 +101,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+    remove_folders(spark, _left_over.pop(id(spark), []))
     return docs

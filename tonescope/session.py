@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,4 +56,30 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         shared = tempfile.mkdtemp(prefix="tonescope-")
-    return os.path.join(shared, f"{purpose}-{uuid.uuid4().hex}")
+    folder = os.path.join(shared, f"{purpose}-{uuid.uuid4().hex}")
+    for collected in _collecting:
+        collected.append(folder)
+    return folder
+
+
+_collecting: list[list[str]] = []
+
+
+@contextmanager
+def collected_folders() -> Iterator[list[str]]:
+    """The folders that ``work_folder`` names inside, for whoever knows when they are used up."""
+    folders: list[str] = []
+    _collecting.append(folders)
+    try:
+        yield folders
+    finally:
+        # By identity: two lists without folders are equal.
+        _collecting[:] = [x for x in _collecting if x is not folders]
+
+
+def remove_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete work folders, on whatever file system they are; a missing one is no error."""
+    context = spark.sparkContext
+    for folder in folders:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
