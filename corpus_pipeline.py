@@ -27,8 +27,8 @@ def _stage(function: Stage) -> Stage:
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         before = _left_over.pop(id(spark), [])
         read = docs.inputFiles() if before else []
-        # A caller that has not written the result still needs them.
-        if not any(folder in path for path in read for folder in before):
+        # A caller that has not written the result still needs them. Their last names are unique.
+        if not any(folder.rsplit("/", 1)[-1] in path for path in read for folder in before):
             remove_folders(spark, before)
         with collected_folders() as folders:
             result = function(spark, docs, sf_dir)
