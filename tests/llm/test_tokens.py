@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -15,7 +16,6 @@ from tonescope.llm.tokens import Encoder, default_tokenizer
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(default_tokenizer())
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -31,6 +31,19 @@ def test_encoder_equals_library(encoder, library, texts):
     assert [list(ids[a:b]) for a, b in zip(bounds, bounds[1:])] == [library(t) + [7] for t in texts]
 
 
+def test_special_tokens_are_those_of_the_file(encoder, library):
+    texts = ["ab <|endoftext|> cd", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n y", None, "plain",
+             "<|endoftext| >", "two  spaces and\u2003 others \x1c x", " lead", "trail ", "\x85 a"]
+    for given in (texts, pa.array(texts)):
+        ids, bounds = encoder.encode(given, 7)
+        assert [list(ids[a:b]) for a, b in zip(bounds, bounds[1:])] == [library(t or "") + [7] for t in texts]
+    assert 50256 in library(texts[0])
+    plain = Tokenizer.from_file(default_tokenizer())
+    plain.encode_special_tokens = True
+    ids, _ = Encoder(default_tokenizer(), ordinary=True).encode(texts[:1], 7)
+    assert list(ids[:-1]) == plain.encode(texts[0], add_special_tokens=False).ids
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 

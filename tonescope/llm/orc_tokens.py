@@ -28,9 +28,9 @@ def encode(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, doc_i
         import pyarrow as pa
         encoder = Encoder(tokenizer)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(1)
             for a, b in slices(texts):
-                ids, bounds = encoder.encode(texts[a:b], end_id)
+                ids, bounds = encoder.encode(texts.slice(a, b - a), end_id)
                 tokens = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)),
                                                   pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(

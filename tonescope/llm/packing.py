@@ -179,9 +179,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1,
                      for v, t in zip(columns.values(), types, strict=True)], names=list(columns))
 
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            names, texts = batch.column(0).to_pylist(), batch.column(1)
             for a, b in slices(texts):
-                ids, bounds = encoder.encode(texts[a:b], end_id)
+                ids, bounds = encoder.encode(texts.slice(a, b - a), end_id)
                 for i in range(b - a):
                     own = ids[bounds[i]:bounds[i + 1]]
                     held.append((names[a + i], own, len(own)))
