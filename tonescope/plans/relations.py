@@ -30,25 +30,28 @@ def relation_rows(events: DataFrame, places: Sequence[str], time: str, tone: str
 
 
 def bilateral_tone(events: DataFrame, *, places: Sequence[str] = PLACES, time: str = ADDED,
-                   tone: str = TONE, week_start: str = ISO) -> DataFrame:
+                   tone: str = TONE, week_start: str = ISO, exact: bool = False) -> DataFrame:
     """``week, c1, c2, n, mean_tone`` of every ordered pair; events without both countries are
     skipped."""
     rows = with_both(relation_rows(events, places, time, tone, week_start=week_start), *PAIR)
-    pairs = pair_count_and_sum(rows, ["week"], *PAIR, "tone")
+    pairs = pair_count_and_sum(rows, ["week"], *PAIR, "tone", exact)
     return directed(pairs, *PAIR).select(*GROUP, "n", mean_tone().alias("mean_tone"))
 
 
-def _type_sums(events, places, types, time, tone, week_start, unknown_label) -> DataFrame:
+def _type_sums(events, places, types, time, tone, week_start, unknown_label,
+               exact=False) -> DataFrame:
     rows = relation_rows(events, places, time, tone, types, week_start)
     rows = each_type(or_unknown(rows, *PAIR, label=unknown_label), types)
-    return pair_count_and_sum(rows, ["week", "actor_type"], *PAIR, "tone")
+    return pair_count_and_sum(rows, ["week", "actor_type"], *PAIR, "tone", exact)
 
 
 def actor_type_stats(events: DataFrame, *, places: Sequence[str] = PLACES,
                      types: Sequence[str] = ACTOR_TYPES, time: str = ADDED, tone: str = TONE,
-                     week_start: str = ISO, unknown_label: str = UNKNOWN) -> DataFrame:
+                     week_start: str = ISO, unknown_label: str = UNKNOWN,
+                     exact: bool = False) -> DataFrame:
     """``week, c1, c2, actor_type, n, mean_tone``; a missing country is ``unknown_label``."""
-    sums = _type_sums(events, places, types, time, tone, week_start, unknown_label)
+    sums = _type_sums(events, places, types, time, tone, week_start, unknown_label,
+                      exact)
     return directed(sums, *PAIR).select(*GROUP, "actor_type", "n",
                                         mean_tone().alias("mean_tone"))
 
@@ -62,18 +65,22 @@ def rank_types(sums: DataFrame, k: int = 5, by: Sequence[str] = ()) -> DataFrame
 
 def actor_type_top(events: DataFrame, k: int = 5, *, places: Sequence[str] = PLACES,
                    types: Sequence[str] = ACTOR_TYPES, time: str = ADDED, tone: str = TONE,
-                   week_start: str = ISO, unknown_label: str = UNKNOWN) -> DataFrame:
+                   week_start: str = ISO, unknown_label: str = UNKNOWN,
+                   exact: bool = False) -> DataFrame:
     """``week, c1, c2, actor_type, n, mean_tone, rank``, one row per type among the top ``k``."""
-    sums = _type_sums(events, places, types, time, tone, week_start, unknown_label)
+    sums = _type_sums(events, places, types, time, tone, week_start, unknown_label,
+                      exact)
     return directed(rank_types(sums, k), *PAIR).select(
         *GROUP, "actor_type", "n", "mean_tone", "rank")
 
 
 def actor_type_top_list(events: DataFrame, k: int = 5, *, places: Sequence[str] = PLACES,
                         types: Sequence[str] = ACTOR_TYPES, time: str = ADDED, tone: str = TONE,
-                        week_start: str = ISO, unknown_label: str = UNKNOWN) -> DataFrame:
+                        week_start: str = ISO, unknown_label: str = UNKNOWN,
+                        exact: bool = False) -> DataFrame:
     """``week, c1, c2, ranking``: the top ``k`` as an array of (actor_type, n, mean_tone)."""
-    sums = _type_sums(events, places, types, time, tone, week_start, unknown_label)
+    sums = _type_sums(events, places, types, time, tone, week_start, unknown_label,
+                      exact)
     return directed(type_lists(rank_types(sums, k)), *PAIR).select(*GROUP, "ranking")
 
 

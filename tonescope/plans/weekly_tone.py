@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rendering import weekly_line
 from ..functions.times import ISO, week_monday
+from ..operators.aggregates import count_and_sum
 from ..operators.halving import halving_average
 from ..operators.selection import of_country, with_tone
 from ..sources.layout import ADDED, COUNTRY, TONE
@@ -21,9 +22,10 @@ def country_weeks(events: DataFrame, country: str, key: str, time: str, tone: st
 
 
 def weekly_tone_sum(events: DataFrame, country: str = "USA", *, key: str = COUNTRY,
-                    time: str = ADDED, tone: str = TONE, week_start: str = ISO) -> DataFrame:
+                    time: str = ADDED, tone: str = TONE, week_start: str = ISO,
+                    exact: bool = False) -> DataFrame:
     weeks = country_weeks(events, country, key, time, tone, week_start)
-    return weeks.groupBy("week").agg(F.sum("tone").alias("tone_sum"))
+    return count_and_sum(weeks, ["week"], "tone", exact).drop("n")
 
 
 def weekly_halving_average(events: DataFrame, batch: str, country: str = "USA", *,

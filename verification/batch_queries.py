@@ -1,4 +1,5 @@
-"""Queries over complete tables. Floating-point results are rounded, as sums differ by order."""
+"""Queries over complete tables. Floating-point results are rounded, as sums differ by order; those
+of exact sums are not."""
 
 from __future__ import annotations
 
@@ -102,6 +103,18 @@ def late_split(spark, sf_dir):
     return mark_late(rows, "ts", "batch", delay="2 days").select("event_id", "batch", "late")
 
 
+def daily_tone_sum_exact(spark, sf_dir):
+    return daily_tone.daily_tone_sum(feeds.events(spark, sf_dir), feeds.COUNTRY, exact=True, **_FEED)
+
+
+def bilateral_tone_exact(spark, sf_dir):
+    return relations.bilateral_tone(feeds.tone_events(spark, sf_dir), exact=True, **_PAIRS)
+
+
+def actor_type_stats_exact(spark, sf_dir):
+    return relations.actor_type_stats(feeds.tone_events(spark, sf_dir), exact=True, **_TYPED)
+
+
 def weekly_tone_sum(spark, sf_dir):
     return rounded(weekly_tone.weekly_tone_sum(feeds.events(spark, sf_dir), feeds.COUNTRY,
                                                **_FEED), "tone_sum")
@@ -183,6 +196,9 @@ QUERIES = {
     "type_unpivot": type_unpivot,
     "daily_tone_sum": daily_tone_sum,
     "late_split": late_split,
+    "daily_tone_sum_exact": daily_tone_sum_exact,
+    "bilateral_tone_exact": bilateral_tone_exact,
+    "actor_type_stats_exact": actor_type_stats_exact,
     "weekly_tone_sum": weekly_tone_sum,
     "weekly_halving_avg": weekly_halving_avg,
     "bilateral_tone": bilateral_tone(ISO),

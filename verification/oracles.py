@@ -154,7 +154,35 @@ _PAIR_LINES = _pairs("iso") + """SELECT c1 || ';' || c2 || ';' || strftime(week,
 _TOP5_LINES = _types() + _TOP + f""" SELECT c1 || ';' || c2 || ';' || strftime(week, '%Y-%m-%d')
 || ';' || {_TOP_TEXT} AS value FROM top GROUP BY week, c1, c2"""
 
+def _exact(value: str) -> str:
+    """The sum of whole numbers that a double is split into, put together once."""
+    step = 1 << 30
+    below = f"({value} - floor({value})) * {step}"
+    whole, first = f"sum(CAST(floor({value}) AS HUGEINT))", f"sum(CAST(floor({below}) AS HUGEINT))"
+    second = f"sum(CAST(floor(({below} - floor({below})) * {step}) AS HUGEINT))"
+    carried = f"({first} + {second} // {step})"
+    return (f"(CAST({whole} + {carried} // {step} AS DOUBLE) + CAST(({carried} % {step}) * {step} + "
+            f"{second} % {step} AS DOUBLE) / {float(step * step)!r})")
+
+
+def _exact_pairs(rows: str, kept: str = "") -> str:
+    """Means of ordered pairs from exact sums of unordered ones; ``kept`` are further keys."""
+    return f"""
+s AS (SELECT week, {kept} least(c1, c2) AS x, greatest(c1, c2) AS y, count(*) AS n,
+             {_exact('tone')} AS s FROM {rows} GROUP BY ALL),
+t2 AS (SELECT *, CASE WHEN x = y THEN 2 ELSE 1 END AS times FROM s)
+SELECT week, {kept} x AS c1, y AS c2, n * times AS n, s * times / (n * times) AS mean_tone FROM t2
+UNION ALL
+SELECT week, {kept} y AS c1, x AS c2, n, s / n AS mean_tone FROM t2 WHERE x <> y"""
+
+
+_EXACT_DAYS = _DAILY.replace("round(sum(value), 6)", _exact("value"))
+_EXACT_TYPES = _types().rstrip().rstrip(",") + ", " + _exact_pairs("u", "actor_type,")
+
 ORACLES = {
+    "daily_tone_sum_exact": _EXACT_DAYS,
+    "bilateral_tone_exact": _pairs("iso").rstrip() + ", " + _exact_pairs("known"),
+    "actor_type_stats_exact": _EXACT_TYPES,
     "parse_events": _parse_events(),
     "parse_events_files": _parse_events(),
     "parse_rules": _parse_rules(),
