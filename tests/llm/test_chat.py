@@ -75,12 +75,52 @@ def test_template_language():
 
 @pytest.mark.parametrize("template", [
     "{{ message.__class__ }}", "{{ _hidden }}", "{{ x | eval }}", "{{ f(1) }}", "{% if x %}",
-    "{% generation %}{% endif %}", "{{ }}", "{{ a b }}", "{{ x[1 }}", "{% for x in y %}"])
+    "{% generation %}{% endif %}", "{{ }}", "{{ a b }}", "{{ x[1 }}", "{% for x in y %}",
+    "{{ 1 + 'a' }}", "{{ none | length }}", "{{ 1 < 'a' }}", "{{ 'a' in none }}",
+    "{% if x %}{% else %}{% elif y %}{% endif %}", "{% if x %}{% else %}{% else %}{% endif %}",
+    "{% for x y %}{% endfor %}", "{% for _x in y %}{% endfor %}", "{% for x in y %}{% endif %}",
+    "{{ messages }}", "{% for m in messages %}{{ messages }}{% endfor %}",
+    "{% if a %}{% for m in messages %}{% endfor %}{% endif %}",
+    "{% for m in messages %}{% endfor %}{% for m in messages %}{% endfor %}"])
 def test_sandbox(template):
     with pytest.raises(chat.TemplateError):
         chat.compile_template(template)
 
 
+def test_loops_and_strings_that_look_like_ends():
+    render = chat.compile_template("{% for x in message.text | lines %}{{ loop.index }}:{{ x }}"
+                                   "{% if not loop.last %}{{ ', }}' }}{% endif %}{% set y = x %}{% endfor %}{{ y }}")
+    assert render({"message": {"text": "a\nb"}}) == ("1:a, }}2:b", [])
+    assert chat.compile_template("{% for x in nothing %}x{% endfor %}")({}) == ("", [])
+    assert chat.compile_template("{{ \"%}\" }}{% if x == '%}' %}y{% endif %}")({"x": "%}"}) == ("%}y", [])
+
+
+@pytest.mark.parametrize("template,names", [
+    ("{{ message.text in none }}", {"message": {"text": "a"}}), ("{{ x + 1 }}", {"x": "a"}),
+    ("{{ x | length }}", {}), ("{% for c in x %}{% endfor %}", {"x": "abc"})])
+def test_what_goes_wrong_on_a_row(template, names):
+    with pytest.raises(chat.TemplateError):
+        chat.compile_template(template)(names)
+
+
+def test_a_template_renders_a_conversation(spark):
+    template = ("{% set name = 'bot' %}<{% for m in messages %}{% if m.role == loop.previtem.role %}+{% endif %}"
+                "{{ loop.index0 }}{{ name if m.role == 'assistant' else m.role }}"
+                "{% if loop.first %}!{% endif %}{% generation %}{{ m.text }}{% endgeneration %}"
+                "{% if loop.nextitem and loop.nextitem.role == 'user' %};{% endif %}{% endfor %}{{ name }}>")
+    rows = [(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 2, "assistant", "c"), (1, 3, "user", "d"), (2, 0, "user", "e")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    parts = chat.format_turns(frame, template).orderBy("conv_id", "part").collect()
+    assert [p.formatted for p in parts] == ["<0user!a;", "+1userb", "2botc;", "3userdbot>", "<0user!ebot>"]
+    assert all(p.formatted[s.start:s.end] in "abcde" and s.end == s.start + 1 for p in parts for s in p.spans)
+
+
+def test_an_empty_branch(spark):
+    frame = spark.createDataFrame([(1, 0, "tool", "x")], "conv_id long, turn long, role string, text string")
+    parts = chat.format_turns(frame, "{% if message.role == 'user' %}{{ message.text }}{% endif %}").collect()
+    assert [(p.formatted, p.spans) for p in parts] == [("", [])]
+
+
 def test_no_python_attribute_is_reached():
     render = chat.compile_template("{{ message.text.upper }}{{ message['__class__'] }}")
     assert render({"message": {"text": "a"}}) == ("", [])

@@ -2,12 +2,16 @@
 
 A template is parsed to a syntax tree, constants are folded, and the tree becomes Python closures.
 The language is a sandbox: names, attributes and keys of plain dictionaries, literals, comparison,
-``and``/``or``/``not``, ``+``, ``a if c else b``, listed filters; ``if``, ``set``, and ``generation``
-blocks, whose text a model learns from. There are no calls, and no Python attribute can be reached.
-
-A template renders one turn, with ``message`` (role, text), ``index``, ``first`` and ``last``. Turns of a
-conversation are numbered in Spark and rendered row by row, so a conversation of any length is never
-gathered in one row. The parts of a conversation, in order, are its formatted text.
+``and``/``or``/``not``, ``+``, ``a if c else b``, listed filters; ``if``, ``for``, ``set``, and
+``generation`` blocks, whose text a model learns from. There are no calls, and no Python attribute can be
+reached. What a template gets wrong, when it is compiled or on some row, is a ``TemplateError``.
+
+A template renders a conversation by a loop ``{% for message in messages %}`` (role, text) at its top
+level, with Jinja's ``loop``: ``index``, ``index0``, ``first``, ``last``, and the neighbours ``previtem`` and
+``nextitem``, of which the role is known. Turns are numbered in Spark and the loop's rounds are rendered
+row by row, what stands before and after the loop with the first and the last row, so a conversation of
+any length is never gathered in one row. Its parts, in order, are its formatted text. A template without
+this loop renders each turn by itself, with ``message``, ``index``, ``first`` and ``last``.
 """
 
 from __future__ import annotations
@@ -19,10 +23,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT = (
-    "{% if first %}<|begin|>{% endif %}<|turn|>{{ message.role | escape }}\n"
+    "<|begin|>{% for message in messages %}<|turn|>{{ message.role | escape }}\n"
     "{% if message.role == 'assistant' %}{% generation %}{{ message.text | escape }}"
     "{% endgeneration %}{% else %}{{ message.text | escape }}{% endif %}<|end|>\n"
-    "{% if last %}<|stop|>{% endif %}")
+    "{% endfor %}<|stop|>")
+#: What only the loop at the top level may ask for.
+MESSAGES = "messages"
 
 # Every control string starts with one of the two opening characters, which no escaped text holds.
 _CODES = {"\\": "\\\\", "<": "\\l", "[": "\\b", "\n": "\\n"}
@@ -41,11 +47,14 @@ def unescape(text: str) -> str:
 
 FILTERS: dict[str, Callable] = {
     "escape": lambda x: escape(str(x)), "upper": lambda x: str(x).upper(),
-    "lower": lambda x: str(x).lower(), "trim": lambda x: str(x).strip(), "length": len}
+    "lower": lambda x: str(x).lower(), "trim": lambda x: str(x).strip(), "length": len,
+    "lines": lambda x: str(x).split("\n")}
 
 _TOKEN = re.compile(r"\s*(?:(\d+)|('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|([A-Za-z_]\w*)"
                     r"|(==|!=|<=|>=|[-+<>|.()\[\]]))")
-_BLOCK = re.compile(r"(\{\{.*?\}\}|\{%.*?%\})", re.S)
+# A block ends behind its strings, whatever they hold.
+_STRINGS = r"(?:'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|.)*?"
+_BLOCK = re.compile(r"(\{\{" + _STRINGS + r"\}\}|\{%" + _STRINGS + r"%\})", re.S)
 
 
 class TemplateError(ValueError):
@@ -151,7 +160,7 @@ class Parser:
 
 
 def parse(template: str) -> list[tuple]:
-    """A template's statements: text, show, if, set, generation."""
+    """A template's statements: text, show, if, for, set, generation."""
     parts = _BLOCK.split(template)
     stack: list[tuple[str, list]] = [("", [])]
     for part in parts:
@@ -168,30 +177,53 @@ def parse(template: str) -> list[tuple]:
                 stack.pop()
                 branches = stack[-1][1][-1][1]
                 condition = Parser(rest).whole() if word == "elif" else ("const", True)
+                if word == "else" and rest.strip():
+                    raise TemplateError(f"unexpected {rest}")
                 branches.append([condition, []])
-                stack.append(("if", branches[-1][1]))
+                # Behind else, only the end of the block is left.
+                stack.append(("if" if word == "elif" else "if ", branches[-1][1]))
+            elif word == "for":
+                name, found, over = re.match(r"(\S*)\s*(in\b)?(.*)", rest, re.S).groups()
+                if not found:
+                    raise TemplateError(f"unexpected {part}")
+                inside = []
+                body.append(("for", Parser(name).name(), Parser(over).whole(), inside))
+                stack.append(("for", inside))
             elif word == "generation":
-                inside: list = []
+                inside = []
                 body.append(("generation", inside))
                 stack.append(("generation", inside))
             elif word == "set":
                 name, _, value = rest.partition("=")
                 body.append(("set", Parser(name).name(), Parser(value).whole()))
-            elif word in ("endif", "endgeneration") and stack[-1][0] == word[3:]:
+            elif word in ("endif", "endfor", "endgeneration") and stack[-1][0].strip() == word[3:]:
+                if rest.strip():
+                    raise TemplateError(f"unexpected {rest}")
                 stack.pop()
             else:
                 raise TemplateError(f"unexpected {part}")
         elif part:
             body.append(("text", part))
     if len(stack) > 1:
-        raise TemplateError(f"{stack[-1][0]} is not closed")
+        raise TemplateError(f"{stack[-1][0].strip()} is not closed")
     return stack[0][1]
 
 
+def checked(run: Callable, what: str) -> Callable:
+    """``run``, whose operands may not fit it."""
+    def run_checked(*values):
+        try:
+            return run(*values)
+        except TypeError as error:
+            raise TemplateError(f"{what}: {error}") from None
+    return run_checked
+
+
 _APPLY: dict[str, Callable] = {
     "==": lambda a, b: a == b, "!=": lambda a, b: a != b, "<": lambda a, b: a < b,
     ">": lambda a, b: a > b, "<=": lambda a, b: a <= b, ">=": lambda a, b: a >= b,
     "in": lambda a, b: a in b, "+": lambda a, b: a + b}
+_APPLY = {sign: checked(run, sign) for sign, run in _APPLY.items()}
 
 
 def fold(tree: tuple) -> tuple:
@@ -240,6 +272,8 @@ def fold_body(body: list[tuple]) -> list[tuple]:
                 add(("if", open_branches))
         elif kind == "set":
             add(("set", statement[1], fold(statement[2])))
+        elif kind == "for":
+            add(("for", statement[1], fold(statement[2]), fold_body(statement[3])))
         elif kind == "generation":
             add(("generation", fold_body(statement[1])))
         else:
@@ -247,6 +281,13 @@ def fold_body(body: list[tuple]) -> list[tuple]:
     return out
 
 
+def mentions(part, name: str) -> bool:
+    """Whether a tree or body asks for a name."""
+    if part == ("name", name):
+        return True
+    return isinstance(part, (tuple, list)) and any(mentions(p, name) for p in part)
+
+
 def _shown(value) -> str:
     return "" if value is None else str(value)
 
@@ -259,7 +300,7 @@ def expression(tree: tuple) -> Callable[[dict], object]:
     if kind == "name":
         return lambda names, name=tree[1]: names.get(name)
     if kind == "filter":
-        run, inner = FILTERS[tree[1]], expression(tree[2])
+        run, inner = checked(FILTERS[tree[1]], tree[1]), expression(tree[2])
         return lambda names: run(inner(names))
     parts = [expression(p) for p in tree[1:]]
     if kind == "key":
@@ -305,6 +346,19 @@ def statements(body: list[tuple]) -> Callable[[dict, Output], None]:
             def put(names, out, name=statement[1], value=expression(statement[2])):
                 names[name] = value(names)
             steps.append(put)
+        elif kind == "for":
+            def rounds(names, out, name=statement[1], over=expression(statement[2]),
+                       inside=statements(statement[3])):
+                values = over(names)
+                if not isinstance(values, (list, tuple, type(None))):
+                    raise TemplateError(f"for: {type(values).__name__} is no list")
+                values = values or ()
+                for i, value in enumerate(values):
+                    loop = loop_of(i, i == len(values) - 1, values[i - 1] if i else None,
+                                   values[i + 1] if i + 1 < len(values) else None)
+                    # What a round sets, it sets for itself.
+                    inside({**names, name: value, "loop": loop}, out)
+            steps.append(rounds)
         elif kind == "generation":
             def generate(names, out, inside=statements(statement[1])):
                 start = out.size
@@ -327,15 +381,44 @@ def statements(body: list[tuple]) -> Callable[[dict, Output], None]:
     return run
 
 
+def loop_of(index: int, last: bool, before, after) -> dict:
+    return {"index": index + 1, "index0": index, "first": index == 0, "last": last,
+            "previtem": before, "nextitem": after}
+
+
 def compile_template(template: str) -> Callable[[dict], tuple[str, list[tuple[int, int]]]]:
-    """Template to a function from names to the rendered text and its generated spans."""
-    run = statements(fold_body(parse(template)))
+    """Template to a function from names to the rendered text and its generated spans.
 
-    def render(names: dict) -> tuple[str, list[tuple[int, int]]]:
-        out = Output()
-        run(dict(names), out)
+    Of a template with the loop over ``messages``, the function renders the round of one ``message``,
+    given its ``index``, ``last`` and the ``previous`` and ``next`` message.
+    """
+    body = fold_body(parse(template))
+    loops = [i for i, s in enumerate(body) if s[0] == "for" and s[2] == ("name", MESSAGES)]
+    at = loops[0] if loops else len(body)
+    others = [*body[:at], *body[at + 1:], *(body[at][3] if loops else [])]
+    if mentions(others, MESSAGES):
+        raise TemplateError(f"{MESSAGES} may only be looped over, once and at the top level")
+    if not loops:
+        run = statements(body)
+
+        def render(names: dict) -> tuple[str, list[tuple[int, int]]]:
+            out = Output()
+            run(dict(names), out)
+            return "".join(out.parts), out.spans
+        return render
+
+    before, inside, after = (statements(part) for part in (body[:at], body[at][3], body[at + 1:]))
+
+    def render_round(names: dict) -> tuple[str, list[tuple[int, int]]]:
+        index, last, out, outer = names.get("index", 0), bool(names.get("last")), Output(), {}
+        # The first round's text holds what stands before the loop; others need what is set there.
+        before(outer, out if index == 0 else Output())
+        loop = loop_of(index, last, names.get("previous"), names.get("next"))
+        inside({**outer, body[at][1]: names.get("message"), "loop": loop}, out)
+        if last:
+            after(outer, out)
         return "".join(out.parts), out.spans
-    return render
+    return render_round
 
 
 def format_turns(conversations: DataFrame, template: str = DEFAULT, conv_id: str = "conv_id",
@@ -344,7 +427,8 @@ def format_turns(conversations: DataFrame, template: str = DEFAULT, conv_id: str
 
     Turns are ordered by number (null first), role and text; turns of one number are all kept. A null
     role or text is empty. A null ``conv_id`` is one conversation. ``spans`` are the generated parts
-    of the row's text in characters. An empty table gives no rows. Other columns are not read.
+    of the row's text in characters. Very long texts are rendered whole, in one row each; rows that
+    repeat each other are turns of their own. An empty table gives no rows. Other columns are not read.
     """
     rows = conversations.select(
         conversations[conv_id].cast("long").alias("conv_id"),
@@ -353,19 +437,24 @@ def format_turns(conversations: DataFrame, template: str = DEFAULT, conv_id: str
         F.coalesce(conversations[text], F.lit("")).alias("text"))
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     rows = rows.select("conv_id", (F.row_number().over(order) - 1).cast("long").alias("part"),
-                       F.lead("role").over(order).isNull().alias("last"), "role", "text")
+                       F.lag("role").over(order).alias("before"),
+                       F.lead("role").over(order).alias("after"), "role", "text")
     compile_template(template)  # a bad template fails here, not in the tasks
 
     def run(batches) -> Iterator:
         import pyarrow as pa
         render = compile_template(template)
+
+        def neighbour(role):
+            return None if role is None else {"role": role}
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             texts, spans = [], []
-            for part, last, who, what in zip(*(batch.column(i).to_pylist() for i in range(1, 5)),
-                                             strict=True):
-                rendered, found = render({"message": {"role": who, "text": what}, "index": part,
-                                          "first": part == 0, "last": last})
+            for part, before, after, who, what in zip(
+                    *(batch.column(i).to_pylist() for i in range(1, 6)), strict=True):
+                rendered, found = render({
+                    "message": {"role": who, "text": what}, "index": part, "first": part == 0,
+                    "last": after is None, "previous": neighbour(before), "next": neighbour(after)})
                 texts.append(rendered)
                 spans.append([{"start": a, "end": b} for a, b in found])
             yield pa.RecordBatch.from_arrays(
