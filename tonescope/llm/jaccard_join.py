@@ -168,8 +168,8 @@ def own_arrays(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, k: int, lo
     wanted = nodes.join(wanted, "node", "left_semi").select(
         "node", F.col("doc_id").alias("of"), "n", "low")
     wanted.write.parquet(f"{folder}/wanted")
-    # A slim table of its own, whose size the planner knows: it is broadcast only if it is small.
-    wanted = spark.read.parquet(f"{folder}/wanted")
+    # The wanted nodes grow with the input, so they are never broadcast, at no size.
+    wanted = spark.read.parquet(f"{folder}/wanted").hint("merge")
     rows = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")))
 
     def run(batches) -> Iterator:
