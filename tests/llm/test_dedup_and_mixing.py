@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -98,3 +99,22 @@ def test_flight_keeps_balance():
 def test_empty_tables(nothing):
     assert exact_dedup.deduplicate(nothing).count() == 0
     assert mixing.mix(nothing).count() == 0
+
+
+def test_many_equal_rows_are_spread_over_flights(spark):
+    from tonescope.session import collected_folders
+    rows = [(7, "a few words", "s0")] * 3000 + [(i, "w " * (i % 9 + 1), "s0") for i in range(100, 400)]
+    rows += [(None, None, None)] * 50
+    draw, found = random.Random(2), []
+    for parts in (2, 5):
+        draw.shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        with collected_folders() as folders:
+            got = mixing.mix(docs, block_docs=64)
+        blocks = spark.read.parquet(f"{folders[0]}/flight0").groupBy("source", "block").count()
+        assert blocks.agg({"count": "max"}).first()[0] <= 3 * 64 and blocks.count() >= 40
+        found.append(Counter((r.doc_id, r["size"], r.taken) for r in got.collect()))
+        target, = {r.target for r in got.collect() if r.source == "s0"}
+        taken = sum(k[2] * n for k, n in found[-1].items())
+        assert abs(taken - target) <= 10
+    assert found[0] == found[1]

@@ -97,6 +97,45 @@ def land(chance: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return chance
 
 
+#: Rows equal in these are interchangeable.
+_EQUAL = ("doc_id", "size", "hash")
+
+
+def _dealt(blocks: Column, *by: str) -> Column:
+    """A block of the source's, by a hash."""
+    return F.pmod(F.pmod(F.xxhash64(*by), F.lit(1 << 40)), blocks).cast("long")
+
+
+def _spread(rows: DataFrame, blocks: Column, most: int, folder: str) -> DataFrame:
+    """``rows`` with those of blocks above ``most`` rows, where many equal rows meet, dealt once more: by
+    their number among their equals too. Any numbering gives the same blocks but for equal rows.
+
+    Equal rows are numbered within each task's part, and the parts by sums over their counts, so that no
+    task holds all of them.
+    """
+    spark = rows.sparkSession
+    (rows.groupBy("source", "block").agg(F.count("*").alias("n")).where(F.col("n") > most)
+     .select(F.col("source").alias("of"), F.col("block").alias("full")).write.parquet(f"{folder}/blocks"))
+    large = spark.read.parquet(f"{folder}/blocks")
+    if large.isEmpty():
+        return rows
+    here = F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("full"))
+    few = rows.join(large, here, "left_anti")
+    rows.join(large, here, "left_semi").write.parquet(f"{folder}/rows")
+    many = spark.read.parquet(f"{folder}/rows")
+    equal = ["source", *_EQUAL]
+    parts = many.groupBy(*equal, "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*equal).orderBy("part")) - F.col("n")
+    parts.withColumn("before", before).drop("n").write.parquet(f"{folder}/parts")
+    offsets = spark.read.parquet(f"{folder}/parts").alias("o")
+    within = F.row_number().over(Window.partitionBy(*equal, "part").orderBy("row")) - 1
+    numbered = many.withColumn("within", within).alias("m").join(offsets, F.expr(" AND ".join(
+        f"m.{c} <=> o.{c}" for c in [*equal, "part"]))).select("m.*", "o.before")
+    numbered = numbered.withColumn("number", F.col("before") + F.col("within"))
+    spread = numbered.withColumn("block", _dealt(blocks, *_EQUAL, "number"))
+    return few.unionByName(spread.drop("before", "within", "number"))
+
+
 def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0,
         weights: tuple[float, ...] = (3.0, 1.0, 2.0), doc_id: str = "doc_id", text: str = "text",
         source: str = "source", block_docs: int = BLOCK_DOCS, row: str | None = None) -> DataFrame:
@@ -114,7 +153,7 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0,
                        word_count(docs[text]).alias("size"),
                        F.xxhash64(docs[text]).alias("hash"),
                        (docs[row] if row else F.monotonically_increasing_id()).alias("row"))
-    slim.write.parquet(f"{folder}/rows")
+    slim.withColumn("part", F.spark_partition_id()).write.parquet(f"{folder}/rows")
     slim = spark.read.parquet(f"{folder}/rows")
 
     sources = slim.groupBy("source").agg(F.sum("size").alias("source_size"),
@@ -151,10 +190,10 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0,
             return order.set_column(at, "chance", pa.array(chance))
         return run
 
-    hashed = F.pmod(F.xxhash64("doc_id", "size", "hash"), F.lit(1 << 40)).cast("long")
     blocks = F.ceil(F.col("docs") / block_docs)
-    open_rows = (joined.where((F.col("chance") > 0) & (F.col("size") > 0))
-                 .withColumn("block", F.pmod(hashed, blocks).cast("long")).select(*names))
+    open_rows = joined.where((F.col("chance") > 0) & (F.col("size") > 0)).withColumn(
+        "block", _dealt(blocks, *_EQUAL))
+    open_rows = _spread(open_rows, blocks, 2 * block_docs, f"{folder}/large").select(*names)
     decided, level, most_blocks = [], 0, -(-largest // block_docs)
     while True:
         last = most_blocks <= 1
