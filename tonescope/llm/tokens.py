@@ -50,7 +50,7 @@ class Encoder:
         self.pretokens = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
         self.cut = regex.compile(r"(?<=\S) ").split
-        # The visible stand-ins of bytes: printable ones stand for themselves, the others follow
+        # The visible stand-ins of bytes. Printable ones stand for themselves, the others follow
         # from 256 on.
         printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
         others = [b for b in range(256) if b not in printable]
