@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed values in this module: signs and words of the lines, as consumers of the results expect them.
 def number_text(value: Column, digits: int | None = None) -> Column:
     """The shortest text that reads back as the same double, or a fixed number of decimals."""
     if digits is None:
