@@ -9,6 +9,7 @@ import pytest
 import corpus_pipeline
 from test_dedup_and_mixing import fixpoint, norm
 from test_lm_and_jaccard import brute_components
+from pyspark.sql import functions as F
 from tonescope.llm import quality
 
 GOOD = "the river runs under old stone bridges while people walk slowly home".split()
@@ -160,3 +161,34 @@ def test_every_stage(spark, corpus, tmp_path):
             assert offset == at
             at += length
         assert at <= 2048
+
+
+def test_every_stage_of_nothing(spark, corpus, tmp_path):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet").where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, corpus).write.parquet(str(tmp_path / name))
+        found = spark.read.parquet(str(tmp_path / name))
+        assert found.count() == 0
+        if name != "packing":
+            assert found.columns == corpus_pipeline.COLUMNS
+
+
+def test_a_mixture_does_not_depend_on_the_layout(spark, corpus, tmp_path):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    found = []
+    for parts in (1, 5):
+        dealt = docs.repartition(parts).withColumn("part", F.lit(1))
+        found.append(Counter(rows_of(corpus_pipeline.mixed(spark, dealt, corpus))))
+    assert found[0] == found[1]
+
+
+def test_work_folders_go_with_the_next_stage(spark, corpus, tmp_path):
+    import os
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    corpus_pipeline.without_copies(spark, docs, corpus).write.parquet(str(tmp_path / "one"))
+    used, = corpus_pipeline._left_over.values()
+    assert used and all(os.path.exists(folder) for folder in used)
+    lazy = corpus_pipeline.mixed(spark, spark.read.parquet(str(tmp_path / "one")), corpus)
+    assert not any(os.path.exists(folder) for folder in used)
+    # What is not written yet keeps what it reads.
+    assert corpus_pipeline.mixed(spark, lazy, corpus).count() > 0

@@ -164,7 +164,8 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Texts are equal when they are identical after each run of ASCII white space became one space; a
     null text is empty. The row with the smallest ``doc_id`` stays (a null id counts as largest); of
-    rows that repeat this id, one stays. ``text_sha256`` is of the normalised text. An empty table
+    rows that repeat this id, one stays. ``text_sha256`` is of the normalised text. A very long text is
+    compared whole; a table holds it even where it alone is above ``table_bytes``. An empty table
     gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession

@@ -372,7 +372,8 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, lower: bo
     case); with fewer words the whole sequence is its only one; without words, or with a null text,
     it is empty, and linked with nothing. Two documents link when 100 * intersection >= ``percent``
     * union. ``component_id`` is the smallest ``doc_id`` that links reach, null only if all of those
-    are. Rows that repeat an id are documents of their own. ``row`` is unique. An empty table gives
+    are. Rows that repeat an id are documents of their own. ``row`` is unique. A very long text has its
+    whole set; equal sets are compared once. An empty table gives
     no rows. Other columns are not read.
     """
     spark: SparkSession = docs.sparkSession

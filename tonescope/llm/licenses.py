@@ -64,7 +64,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
 
     ``line`` counts from 1; 0 is the whole text, of more than one line. Ties go to the first name.
     A null or empty text has no rows, nor has a unit of fewer than two words. Rows that repeat are
-    scanned as often; a null id stays null. An empty table gives no rows. Other columns are not read.
+    scanned as often; a null id stays null. A very long text is one unit besides its lines, like any
+    other. An empty table gives no rows. Other columns are not read.
     """
     sets = {name: template_set(t) for name, t in sorted((templates or TEMPLATES).items())}
     known = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(len(s)).alias("size"),

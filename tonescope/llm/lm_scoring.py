@@ -278,7 +278,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
     a-z; every text, also a null or empty one, ends with one end token. ``base_score`` is the
     unigram model's log10 probability, ``score`` the bigram model's. Repeated rows train as often as
     they stand there. A null id counts as empty text for the split. Without training texts both
-    scores are those of the smoothing alone. An empty table gives no rows. Other columns are not
+    scores are those of the smoothing alone. A very long text is a chunk of its own, scored whole. An
+    empty table gives no rows. Other columns are not
     read. ``parts`` (default: the shuffle partitions) bounds a partition's counts.
     """
     spark = docs.sparkSession

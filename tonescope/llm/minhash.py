@@ -91,7 +91,8 @@ def fingerprint(docs: DataFrame, k: int = 5, permutations: int = PERMUTATIONS,
     are the shares of equal values with the edited and with the next text. A fingerprint is the
     values as hexadecimal text, eight digits each. Texts without words, null ones too, are all
     alike: their values are the greatest. Null ids come first, rows that repeat an id are ordered by
-    text. A single row is its own next. An empty table gives no rows. Other columns are not read.
+    text. A single row is its own next. A very long text is hashed whole, block by block. An empty table
+    gives no rows. Other columns are not read.
     """
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
@@ -151,7 +152,8 @@ def near_pairs(docs: DataFrame, k: int = 5, similarity: float = 0.8, bands: int
     fingerprint is compared with the others on whole shingle sets; then it has met them all, leaves,
     and the next one follows, as long as a band value holds texts of different classes. So a large
     group of near copies takes one comparison per text, and no pair that met is lost. Texts without
-    words are near nothing. Nulls, repeated rows and empty tables are as for ``fingerprint``.
+    words are near nothing. Nulls, repeated rows, very long texts and empty tables are as for
+    ``fingerprint``.
     """
     spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "minhash")
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))

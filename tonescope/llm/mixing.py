@@ -144,7 +144,8 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0,
     ``size`` is the number of words, ``taken`` the words that the mix takes: ``copies`` times size.
     No document has more than ``most`` (rounded up) copies. Reruns agree: rows are ordered by id, size and
     a hash of the text; rows equal in all of these are interchangeable. A null text has no words and
-    a source without words a target of 0. A null source is one source, the last. An empty table
+    a source without words a target of 0. A null source is one source, the last. A very long text is
+    taken or left whole. An empty table
     gives no rows. ``row`` names a column of numbers of the caller's that tell all rows apart, which
     come back under that name; without it rows get numbers here. Other columns are not read.
     """

@@ -50,7 +50,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     """Encode whole texts and write them as ORC in ascending ``doc_id`` order.
 
     The texts are dealt by range before they are encoded, as they are smaller than ids. A null text
-    is its end id alone. Null ids come first; rows with one id stand side by side, ordered by text.
+    is its end id alone; a very long one is a row like any other. Null ids come first; rows with one id stand side by side, ordered by text.
     An empty table gives files without rows. Other columns are not read. Each row keeps how many ids its
     file has before it. ``files`` defaults to
     the session's number of shuffle partitions.

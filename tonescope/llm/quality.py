@@ -159,7 +159,8 @@ def classify(docs: DataFrame, model: Model, modulus: int = 5, threshold: float =
 
     Scores depend on the text alone. A null or empty text is scored like any other. Equal texts have
     equal scores. A null id is held out as crc32 of the empty text says (0: held out). Rows that
-    repeat are scored as often. An empty table gives no rows; without labelled rows every score is
+    repeat are scored as often. A very long text is read whole. Of neighbours at equal similarity the
+    order of the labelled rows decides. An empty table gives no rows; without labelled rows every score is
     the share of label 1, or 0.5.
     """
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"),

@@ -189,7 +189,7 @@ def _strings(texts) -> list[str]:
     return texts.to_numpy(zero_copy_only=False).tolist()
 
 
-def slices(texts, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts, most: int = 8_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows of an Arrow array of about ``most`` bytes of text, at least one row each."""
     import pyarrow.compute as pc
     start, size = 0, 0
