@@ -2,6 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a table that is written and read again as the next
 one's documents. All but the last return the columns of ``documents``.
+
+In every stage a null text counts as empty, nulls in other columns stay, a null id is an id like any other,
+very long texts are read whole, rows that repeat are rows of their own (told apart by a number of this
+module's), an empty table gives an empty one, and further columns of the documents, whatever their
+names, are dropped. Reruns give the same rows.
 """
 
 from __future__ import annotations
@@ -46,7 +51,8 @@ def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 @_stage
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the neighbours' vote does not reject."""
+    """Documents that the neighbours' vote does not reject. Without a labelled document every score is
+    0.5 (or the share of label 1), which is accepted."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels)
     return quality.accepted(docs.select(*COLUMNS), model)
@@ -54,7 +60,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @_stage
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts the one with the smallest id."""
+    """Of documents with equal texts the one with the smallest id; of those that share it, any one, a null
+    id only among null ids. Documents without text are equal."""
     numbered = _numbered(spark, docs)
     keyed = exact_dedup.deduplicate(numbered, doc_id="_row").select(
         F.col("doc_id").alias("_row"), F.col("keep_id").alias("_class"))
@@ -65,7 +72,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 @_stage
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of similar texts: five words, 0.8 or more."""
+    """One document of each component of similar texts: five words, 0.8 or more. Documents without words
+    are similar to nothing and stay."""
     numbered = _numbered(spark, docs)
     parts = jaccard_join.similar_components(numbered, k=5, percent=80, doc_id="_row")
     kept = parts.where("doc_id = component_id").select(F.col("doc_id").alias("_row"))
@@ -74,7 +82,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 @_stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mixture takes it."""
+    """Every document as often as the mixture takes it; none of a document without words, as it adds
+    none. Of equal documents it does not matter which one is taken."""
     numbered = _numbered(spark, docs)
     copies = mixing.mix(numbered, row="_row").select("_row", "copies")
     return (numbered.join(copies, "_row")
@@ -84,7 +93,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of training sequences, with their ids."""
+    """The pieces of training sequences, with their ids; a document without text is its end id."""
     return packing.pack(docs)
 
 
