@@ -19,7 +19,8 @@ def weekly_halving_stream(events: DataFrame, country: str = "USA", *, key: str =
     the micro-batch touched. State is one number per week.
 
     With ``keep_open`` a week's number is given up, and its later rows dropped, that long after its
-    end; without it every week stays open. Rows without a time then belong to no week.
+    end; without it every week stays open. Rows without a time then belong to no week. Timers need the
+    RocksDB state store, which ``build_session`` sets.
     """
     if keep_open is None:
         weeks = country_weeks(events, country, key, time, tone, week_start)
