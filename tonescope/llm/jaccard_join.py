@@ -6,8 +6,9 @@ components that these links form.
    order that all documents share. Two sets of similarity t or more share an element of their
    prefixes, whatever the order is; here a bounded number of frequent shingles come last.
 2. Documents with equal sets are one from here on.
-3. Documents that share a prefix element meet. Each is compared with the first of that element, so a
-   group of thousands of near copies costs a comparison per document and element, not per pair.
+3. Documents that share a prefix element meet. Each is compared with the first of that element, and in
+   large groups with one drawn for the element, so a group of thousands of near copies costs two
+   comparisons per document and element, not one per pair.
 4. Elements whose documents are still in different components are cut into tiles of neighbouring set
    sizes. Tiles whose sizes allow similarity t meet in numpy: the bits in which two bitmaps differ
    are a lower bound of the different elements, so an upper bound of the overlap. Pairs that pass are
@@ -35,6 +36,8 @@ from .words import WordHasher, distinct, mix, shingles
 BITMAP = 16
 #: Documents of a tile.
 TILE = 1024
+#: Documents of an element from which on they also meet a drawn one. Any number gives the same links.
+CROWD = 32
 #: Pairs of rows compared at a time.
 PAIRS = 1 << 18
 #: Bits per element of the larger bitmaps.
@@ -396,15 +399,26 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, lower: bo
     prefixes = nodes.select("node", "n", F.explode("prefix").alias("key"))
     counted = prefixes.groupBy("key").agg(F.count("*").alias("c"),
                                           F.min(F.struct("node", "n")).alias("first"))
-    counted = counted.where("c > 1").select("key", "first.node", "first.n").toDF(
-        "key", "first", "first_n")
+    counted = counted.where("c > 1").select("key", "c", "first.node", "first.n").toDF(
+        "key", "c", "first", "first_n")
     prefixes.join(counted, "key").write.parquet(f"{folder}/shared")
     shared = spark.read.parquet(f"{folder}/shared")
     nodes = nodes.select("node", "doc_id", "n", "low", "bitmap")
 
+    # The first of an element is often the same for all elements of a text. In large groups, where many
+    # texts may be similar but not to that one, each also meets a drawn one, another for each element.
+    crowded = shared.where(F.col("c") >= CROWD).select("key", "node", "n")
+    drawn = crowded.groupBy("key").agg(F.min(F.struct(
+        F.xxhash64("key", "node").alias("draw"), "node", "n")).alias("drawn"))
+    drawn.select("key", "drawn.node", "drawn.n").toDF("key", "first", "first_n").write.parquet(
+        f"{folder}/drawn")
+    crowded = crowded.join(spark.read.parquet(f"{folder}/drawn"), "key")
     sizes = F.least("n", "first_n") * 100 >= F.greatest("n", "first_n") * percent
-    stars = (shared.where(F.col("node") != F.col("first")).where(sizes)
-             .select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
+    stars = (shared.select("node", "n", "first", "first_n")
+             .unionByName(crowded.select("node", "n", "first", "first_n"))
+             .where(F.col("node") != F.col("first")).where(sizes)
+             .select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b"))
+             .distinct())
     links = linked(stars, nodes, texts, k, percent, lower, f"{folder}/first")
     connected(links, f"{folder}/roots0").write.parquet(f"{folder}/rooted0")
     roots = spark.read.parquet(f"{folder}/rooted0")
