@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tonescope.llm import jaccard_join, lm_scoring
@@ -79,14 +80,49 @@ def brute_components(rows, k, percent):
     return Counter((d, len(s), least.get(find(i))) for i, ((d, _), s) in enumerate(zip(rows, sets)))
 
 
-@pytest.mark.parametrize("k,percent,tile", [(3, 90, 1024), (1, 50, 4)])
-def test_components(messy, plain, k, percent, tile):
+@pytest.mark.parametrize("k,percent,tile,crowd", [(3, 90, 1024, 32), (1, 50, 4, 2)])
+def test_components(messy, plain, monkeypatch, k, percent, tile, crowd):
+    monkeypatch.setattr(jaccard_join, "CROWD", crowd)
     got = jaccard_join.similar_components(messy, k, percent, tile=tile).collect()
     want = brute_components([(d, t) for d, t, _ in plain], k, percent)
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
     assert len({r.row for r in got}) == len(got)
 
 
+def test_large_bitmaps_bound_the_difference():
+    draw = np.random.default_rng(4)
+    for n, m, common in ((1, 1, 1), (5, 700, 3), (700, 5, 0), (3000, 2900, 2500), (40_000, 9_000, 8_000)):
+        both = np.unique(draw.integers(0, 2**64, n + m, np.uint64))[:n + m - common]
+        left, right = both[:n], np.concatenate([both[:common], both[n:]])
+        bits = [np.frombuffer(jaccard_join.large_bitmap(x), np.uint64) for x in (left, right)]
+        differ = jaccard_join.bits_differ(*bits)
+        assert differ <= len(np.setxor1d(left, right)) and differ % 2 == len(np.setxor1d(left, right)) % 2
+        if n == 3000:  # close enough to tell what is far from similar
+            assert differ > 0.7 * len(np.setxor1d(left, right))
+
+
+def test_tiles_meet_whatever_the_batches(spark):
+    """Cells of one and of two tiles, split over batches, against all pairs."""
+    draw = np.random.default_rng(9)
+    rows = [(int(key), int(node), int(n), int(node) % 7, [int(x) for x in draw.integers(0, 4, 16)])
+            for key in range(5) for node, n in zip(range(60), draw.integers(20, 200, 60))]
+    frame = spark.createDataFrame(rows, "key long, node long, n long, root long, bitmap array<long>")
+    want = set()
+    for key, a, n, r, x in rows:
+        for other, b, m, q, y in rows:
+            if key == other and a < b and r != q:
+                differ = sum((u ^ v).bit_count() for u, v in zip(x, y))
+                overlap = min((n + m - differ) / 2, n, m)
+                if overlap * 150 >= (n + m) * 50 and min(n, m) * 100 >= max(n, m) * 50:
+                    want.add((a, b))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        got = {tuple(r) for r in jaccard_join.tile_candidates(frame, 50, 8).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == want and want
+
+
 def test_chain_of_links(spark):
     """Neighbours are similar, the ends are not: one component."""
     line = [f"w{i}" for i in range(200)]
