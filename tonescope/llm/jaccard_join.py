@@ -7,7 +7,7 @@ components that these links form.
    prefixes, whatever the order is; here a bounded number of frequent shingles come last.
 2. Documents with equal sets are one from here on.
 3. Documents that share a prefix element meet. Each is compared with the first of that element, and in
-   large groups with one drawn for the element, so a group of thousands of near copies costs two
+   groups of more than a tile with one drawn for the element, so a group of thousands of near copies costs two
    comparisons per document and element, not one per pair.
 4. Elements whose documents are still in different components are cut into tiles of neighbouring set
    sizes. Tiles whose sizes allow similarity t meet in numpy: the bits in which two bitmaps differ
@@ -36,8 +36,6 @@ from .words import WordHasher, distinct, mix, shingles
 BITMAP = 16
 #: Documents of a tile.
 TILE = 1024
-#: Documents of an element from which on they also meet a drawn one. Any number gives the same links.
-CROWD = 32
 #: Pairs of rows compared at a time.
 PAIRS = 1 << 18
 #: Bits per element of the larger bitmaps.
@@ -405,9 +403,10 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, lower: bo
     shared = spark.read.parquet(f"{folder}/shared")
     nodes = nodes.select("node", "doc_id", "n", "low", "bitmap")
 
-    # The first of an element is often the same for all elements of a text. In large groups, where many
-    # texts may be similar but not to that one, each also meets a drawn one, another for each element.
-    crowded = shared.where(F.col("c") >= CROWD).select("key", "node", "n")
+    # The first of an element is often the same for all elements of a text. In groups of more than a tile,
+    # where many texts may be similar but not to that one, each also meets a drawn one, another for
+    # each element. More links found here leave fewer tiles to meet; the links are the same either way.
+    crowded = shared.where(F.col("c") > tile).select("key", "node", "n")
     drawn = crowded.groupBy("key").agg(F.min(F.struct(
         F.xxhash64("key", "node").alias("draw"), "node", "n")).alias("drawn"))
     drawn.select("key", "drawn.node", "drawn.n").toDF("key", "first", "first_n").write.parquet(
