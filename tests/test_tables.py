@@ -129,6 +129,27 @@ def test_compaction_keeps_rows_and_months(spark, tmp_path, rows, event_line, mon
     assert rows(spark.table("of_table")) == [(0,), (1,), (2,), (3,), (4,), (9,)]
 
 
+def test_a_task_of_the_compaction_fills_one_file_and_does_not_sort(spark, tmp_path, event_line,
+                                                                     monkeypatch):
+    table, stored = str(tmp_path / "table"), []
+    for n in range(16):
+        texts = event_texts(event_line, [n], f"20240{1 + n % 8}03")
+        files.write_event_table(parsed_of(spark, texts), table, "load", n)
+    store = files._store
+
+    def watched(frame, folder):
+        sort = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+        stored.append((sort, folder))
+        store(frame, folder)
+    monkeypatch.setattr(files, "_store", watched)
+    assert files.compact_event_table(spark, table) == 32
+    (sort, folder), = stored
+    tasks = [path.name.split("-")[1] for path in (tmp_path / "table").rglob("part-*.parquet")
+             if str(path).startswith(folder)]
+    assert len(tasks) == len(set(tasks)) == 9  # eight months of events, quarantined lines of no month
+    assert not sort and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
 # Levels
 
 @pytest.mark.parametrize("ratio", [0.25, 1, 2])

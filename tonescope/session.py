@@ -77,6 +77,22 @@ def collected_folders() -> Iterator[list[str]]:
         _collecting[:] = [x for x in _collecting if x is not folders]
 
 
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """The session with other settings; at the end it has its own again."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def remove_folders(spark: SparkSession, folders: list[str]) -> None:
     """Delete work folders, on whatever file system they are; a missing one is no error."""
     context = spark.sparkContext

@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import session_settings
 from .committed import (BATCH, FEED, batch_folder, commit, committed_batches, is_committed,
                         live_folders, read_committed, read_folders, written)
 from .layout import ADDED, EVENT_DDL, NAMES
@@ -144,16 +145,22 @@ def compact_event_table(spark: SparkSession, path: str, target_bytes: int = 256
     done = [n for feed, n in committed_batches(spark, path) if feed == GATHERED]
     number, attempt = max(done, default=-1) + 1, f"{GATHERED}-{uuid.uuid4().hex}"
 
-    # Each month is dealt to as many tasks as it fills files; a task may serve several months.
-    files = {month: -(-sum(row.bytes for row in rows) // target_bytes)
-             for month, rows in small.items()}
-    count = F.create_map(*[F.lit(x) for (status, month), n in files.items()
-                           for x in (f"{status}/{month}", n)])
-    of_month = F.element_at(count, F.concat_ws("/", STATUS, F.col(MONTH).cast("string")))
-    share = F.pmod(F.xxhash64(LINE, *NAMES[:4], "sourceUrl"), of_month)
+    # Each month is dealt to as many tasks as it fills files; every task fills one file.
+    tasks, dealing = 0, []
+    for (status, month), of_month in small.items():
+        files = -(-sum(row.bytes for row in of_month) // target_bytes)
+        dealing += [F.lit(f"{status}/{month}"),
+                    F.struct(F.lit(tasks).alias("first"), F.lit(files).alias("files"))]
+        tasks += files
+    of_month = F.element_at(F.create_map(*dealing),
+                            F.concat_ws("/", STATUS, F.col(MONTH).cast("string")))
+    share = F.pmod(F.xxhash64(LINE, *NAMES[:4], "sourceUrl"), of_month["files"])
     rows = read_folders(spark, path, DATA, folders, _STORED_DDL).drop(FEED, BATCH)
-    dealt = rows.repartition(sum(files.values()), STATUS, MONTH, share)
-    _store(dealt, batch_folder(path, DATA, attempt, number))
+    dealt = rows.repartitionById(tasks, (of_month["first"] + share).cast("int"))
+    # A writer sorts a task's rows by folder, all of them in memory, unless it may keep files open. One
+    # is enough here.
+    with session_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "1"}):
+        _store(dealt, batch_folder(path, DATA, attempt, number))
     commit(spark, path, GATHERED, number, written(spark, path, DATA, attempt, number),
            replaced=[(DATA, folder) for folder in folders], mode="errorifexists")
     return len(folders)
