@@ -14,6 +14,7 @@ from tonescope.sources import committed, files, levels, lines
 from tonescope.sources.deliveries import deliver_file, numbered_lines, play_deliveries
 from tonescope.streaming import daily, relations, running, sinks, weekly
 from tonescope.streaming.jobs import event_table_job, relations_job, running_relations_job
+from verification import feeds, stream_queries
 
 D = dt.date
 PAIR_DDL = "day date, a string, b string, tone double, t1 string, t2 string, batch int"
@@ -311,6 +312,35 @@ def test_every_line_is_in_one_delivery(spark, tmp_path, rows):
     assert deliver_file(spark, str(tmp_path / "empty.csv"), str(tmp_path / "none"), 30) == 0
 
 
+def test_no_file_of_a_feed_holds_all_its_lines(spark, tmp_path, monkeypatch):
+    spark.range(1000).selectExpr(
+        "999 - id AS event_id", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, id % 30) AS ts",
+        "id % 7 AS user_id", "if(id % 2 = 0, 'click', 'view') AS event_type", "id % 90 / 2.0 AS value",
+        "'p' AS props").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    sizes = []
+
+    def delivered(spark, path, *given, **named):
+        sizes.extend(r.n for r in spark.read.text(path).groupBy(F.input_file_name()).agg(
+            F.count("*").alias("n")).collect())
+        return deliver_file(spark, path, *given, **named)
+    monkeypatch.setattr(stream_queries, "deliver_file", delivered)
+    monkeypatch.setattr(feeds, "FILE_LINES", 100, raising=False)
+    found = stream_queries.weekly_halving_file_stream(spark, str(tmp_path)).collect()
+    assert sum(sizes) == 1000 and len(sizes) > 5 and max(sizes) < 300
+    want = {}
+    for event in sorted(range(1000)):
+        n = 999 - event
+        if n % 2 == 0:
+            week = D(2024, 1, 1) + dt.timedelta(days=n % 30 // 7 * 7)
+            key = week, event // 167
+            want[key] = want.get(key, 0.0) + n % 90 / 2.0
+    average = {}
+    for week, batch in sorted(want, key=lambda key: key[1]):
+        average[week] = want[week, batch] = (want[week, batch] + average.get(week, 0.0)) / 2
+    assert {(r.week, r.batch): r.average for r in found} == {
+        key: pytest.approx(value, abs=1e-5) for key, value in want.items()}
+
+
 # The halving average
 
 def test_a_week_of_very_many_batches(spark):

@@ -12,6 +12,8 @@ PLACES = ("c1", "c2")
 TYPES = ("a1_type1", "a1_type2", "a1_type3", "a2_type1", "a2_type2", "a2_type3")
 BATCHES = 4
 DELIVERIES = 6
+#: Lines of a file that a feed is written in, about.
+FILE_LINES = 200_000
 
 # Runs unchanged in Spark and in DuckDB.
 TONE_EVENTS = """

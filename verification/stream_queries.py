@@ -116,11 +116,13 @@ def weekly_tone_job_lines(spark, sf_dir):
 
 
 def weekly_halving_file_stream(spark, sf_dir):
-    """One file of lines, dealt to six deliveries."""
+    """Lines in the order of their ids, in one file or, so that no task sorts them all, a row of files,
+    dealt to six deliveries."""
     file, landing, output = (work_folder(spark, name) for name in ("file", "landing", "output"))
-    given = feeds.event_lines(spark, sf_dir, "event_id").coalesce(1).sortWithinPartitions("event_id")
-    given.select("value").write.text(file)
     checkpoint, n = work_folder(spark, "checkpoint"), feeds.events(spark, sf_dir).count()
+    given = feeds.event_lines(spark, sf_dir, "event_id").repartitionByRange(
+        max(-(-n // feeds.FILE_LINES), 1), "event_id").sortWithinPartitions("event_id")
+    given.select("value").write.text(file)
     count = deliver_file(spark, file, landing, -(-n // feeds.DELIVERIES), block_bytes=1 << 16)
 
     def start(stream):
