@@ -57,3 +57,8 @@ def test_lines_are_split_once(spark):
     text = (events.where("actor1Code_countryCode = 'click'").select("avgTone")
             ._jdf.queryExecution().executedPlan().toString())
     assert text.count("split(") == 1
+
+
+def test_partial_sums_of_batches_are_those_of_gathered_pairs(spark):
+    text = plan(spark, "actor_type_top5_touched")
+    assert "REBALANCE_PARTITIONS_BY_COL" in text.split("partial_sum")[1]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.rendering import number_text, pair_line, ranking_text
 from ..functions.times import ISO, week_monday
 from ..operators.aggregates import mean_tone, pair_count_and_sum
-from ..operators.fanout import directed, each_type
+from ..operators.fanout import directed, each_type, unordered
 from ..operators.selection import UNKNOWN, or_unknown, with_both, with_tone
 from ..operators.topk import ranking_list, top_k
 from ..sources.layout import ACTOR_TYPES, ADDED, PLACES, TONE
@@ -95,7 +95,10 @@ def actor_type_top_touched(events: DataFrame, batch: str, k: int = 5, *,
     """What the running ranking shows after each numbered batch: counts so far, ranked among the
     types the batch brought."""
     rows = relation_rows(events, places, time, tone, types, week_start, extra=[batch])
-    rows = each_type(or_unknown(rows, *PAIR, label=unknown_label), types)
+    rows = unordered(or_unknown(rows, *PAIR, label=unknown_label), *PAIR)
+    # Every batch has keys of its own, so the partial sums of rows as they come grow with the rows. Of
+    # gathered pairs a task holds few keys; a pair of very many rows is split.
+    rows = each_type(rows.hint("rebalance", *GROUP), types)
     sums = pair_count_and_sum(rows, [batch, "week", "actor_type"], *PAIR, "tone")
     so_far = (Window.partitionBy(*GROUP, "actor_type").orderBy(batch)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
