@@ -22,12 +22,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonescope.session import work_folder
+from tonescope.session import released_shuffles, work_folder
 
 from .words import WordHasher, mix
 
-#: Characters of a chunk, at least one text. More share more words in one request.
-CHUNK_CHARS = 8_000_000
+#: Characters of a chunk, at least one text. More share more words in one request, and take more memory:
+#: a task holds some hundred bytes for every word of one.
+CHUNK_CHARS = 4_000_000
 #: Hashes of the end and the start of a text: no words, as words are mixed by other numbers.
 END, START = (np.uint64(x) for x in mix(np.array([0xE17D, 0x57A27], np.uint64)))
 
@@ -93,11 +94,12 @@ def chunks(rows: DataFrame, chunk_chars: int) -> DataFrame:
 class Chunk:
     """A chunk's different words and bigrams. Number ``len(words)`` is the start of a text."""
 
-    def __init__(self, held_out, lengths, words: bytes, tokens: bytes):
-        self.held_out = np.array(held_out, bool)
-        self.lengths = np.array(lengths, np.int64)
-        self.words = np.frombuffer(words, np.uint64)
-        self.tokens = np.frombuffer(tokens, np.int32).astype(np.int64)
+    def __init__(self, held_out, lengths, words, tokens):
+        """The values of a row of ``chunks``, as Arrow has them."""
+        self.held_out = held_out.values.to_numpy(zero_copy_only=False)
+        self.lengths = lengths.values.to_numpy()
+        self.words = np.frombuffer(words.as_buffer(), np.uint64)
+        self.tokens = np.frombuffer(tokens.as_buffer(), np.int32).astype(np.int64)
         self.start = len(self.words)
         self.firsts = np.cumsum(self.lengths) - self.lengths
         self.hashes = np.append(self.words, START)
@@ -144,10 +146,10 @@ def heavy_words(stored: DataFrame, parts: int) -> np.ndarray:
     def run(batches) -> Iterator:
         import pyarrow as pa
         for batch in batches:
-            for words, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                     strict=True):
-                hashes = np.frombuffer(words, np.uint64)
-                counts = np.bincount(np.frombuffer(tokens, np.int32), minlength=len(hashes))
+            for words, tokens in zip(batch.column(0), batch.column(1), strict=True):
+                hashes = np.frombuffer(words.as_buffer(), np.uint64)
+                counts = np.bincount(np.frombuffer(tokens.as_buffer(), np.int32),
+                                     minlength=len(hashes))
                 named = np.flatnonzero(counts * 8 * parts > counts.sum())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.append(hashes[named].view(np.int64), 0)),
@@ -168,8 +170,8 @@ def requests(stored: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
     def run(batches) -> Iterator:
         import pyarrow as pa
         for batch in batches:
-            for row in batch.to_pylist():
-                chunk = Chunk(row["held_out"], row["lengths"], row["words"], row["tokens"])
+            for number, *row in zip(*batch.columns, strict=True):
+                chunk = Chunk(*row)
                 words, bigrams = chunk.counts()
                 first, second = chunk.bigrams // chunk.start, chunk.bigrams % chunk.start
                 for part, own, home, arcs in chunk.dealt(parts, heavy):
@@ -179,7 +181,7 @@ def requests(stored: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
                         chunk.hashes[np.minimum(second[arcs], chunk.start)],
                         bigrams[arcs].astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([part], pa.int32()), pa.array([row["chunk"]], pa.int64()),
+                        [pa.array([part], pa.int32()), pa.array([number.as_py()], pa.int64()),
                          *[pa.array([c.tobytes()], pa.binary()) for c in columns]],
                         names=["part", "chunk", "words", "counts", "home", "first", "second",
                                "pairs"])
@@ -194,18 +196,19 @@ def answers(asked: DataFrame) -> DataFrame:
     (``fans``), of its bigrams the count; and per partition what the model needs overall."""
     def run(table):
         import pyarrow as pa
-        rows = table.to_pylist()
-        words = [np.frombuffer(r["words"], np.uint64) for r in rows]
+        def arrays(name, kind):
+            return [np.frombuffer(value.as_buffer(), kind) for value in table[name]]
+
+        words, firsts = arrays("words", np.uint64), arrays("first", np.int32)
         known, at = np.unique(np.concatenate(words), return_inverse=True)
         own = np.zeros(len(known), np.int64)
-        np.add.at(own, at, np.concatenate([np.frombuffer(r["counts"], np.int32) for r in rows]))
+        np.add.at(own, at, np.concatenate(arrays("counts", np.int32)))
         home = np.zeros(len(known), bool)
-        home[at[np.concatenate([np.frombuffer(r["home"], bool) for r in rows])]] = True
+        home[at[np.concatenate(arrays("home", bool))]] = True
         starts = np.cumsum([0, *map(len, words)])
-        first = np.concatenate([at[s + np.frombuffer(r["first"], np.int32)]
-                                for s, r in zip(starts, rows, strict=False)])
-        second = np.concatenate([np.frombuffer(r["second"], np.uint64) for r in rows])
-        pairs = np.concatenate([np.frombuffer(r["pairs"], np.int32) for r in rows])
+        first = np.concatenate([at[s + f] for s, f in zip(starts, firsts, strict=False)])
+        second = np.concatenate(arrays("second", np.uint64))
+        pairs = np.concatenate(arrays("pairs", np.int32))
         order = np.lexsort((second, first))
         fresh = np.ones(len(order), bool)
         fresh[1:] = ((first[order][1:] != first[order][:-1])
@@ -216,12 +219,13 @@ def answers(asked: DataFrame) -> DataFrame:
         heads = first[order][fresh]
         fans = np.bincount(heads[total > 0], minlength=len(known))
         out = []
-        ends = np.cumsum([0, *(len(r["first"]) // 4 for r in rows)])
+        ends = np.cumsum([0, *map(len, firsts)])
         real = home & (known != START)
-        for i, r in enumerate(rows):
+        for i, (part, chunk) in enumerate(zip(table["part"].to_pylist(), table["chunk"].to_pylist(),
+                                              strict=True)):
             mine = at[starts[i]:starts[i + 1]]
             out.append({
-                "part": r["part"], "chunk": r["chunk"],
+                "part": part, "chunk": chunk,
                 "counts": np.where(home[mine], own[mine], 0).astype(np.int64).tobytes(),
                 "fans": fans[mine].astype(np.int64).tobytes(),
                 "pairs": total[number[ends[i]:ends[i + 1]]].astype(np.int64).tobytes(),
@@ -290,8 +294,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
     chunks(rows, chunk_chars).write.option("compression", "zstd").parquet(f"{folder}/chunks")
     stored = spark.read.parquet(f"{folder}/chunks")
     heavy = heavy_words(stored, parts)
-    answers(requests(stored, parts, heavy)).write.option("compression", "zstd").parquet(
-        f"{folder}/answers")
+    # The requests are answered, and go from disk before the answers are moved.
+    with released_shuffles(spark):
+        answers(requests(stored, parts, heavy)).write.option("compression", "zstd").parquet(
+            f"{folder}/answers")
     answered = spark.read.parquet(f"{folder}/answers")
     tokens, types, once, twice = answered.agg(
         *(F.sum(c) for c in ("tokens", "types", "once", "twice"))).first()
@@ -302,16 +308,20 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
     def run(_, chunk_table, answer_table):
         import pyarrow as pa
         out = []
-        for row in chunk_table.to_pylist():
-            chunk = Chunk(row["held_out"], row["lengths"], row["words"], row["tokens"])
+        replies = {part: row for part, *row in zip(
+            answer_table["part"].to_pylist(), answer_table["counts"], answer_table["fans"],
+            answer_table["pairs"], strict=True)}
+        for doc_ids, *row in zip(*(chunk_table[c] for c in (
+                "doc_ids", "held_out", "lengths", "words", "tokens")), strict=True):
+            chunk = Chunk(*row)
             counts, fans = np.zeros((2, chunk.start + 1), np.int64)
             pairs = np.zeros(len(chunk.bigrams), np.int64)
-            replies = {r["part"]: r for r in answer_table.to_pylist()}
             for part, own, _, arcs in chunk.dealt(parts, heavy):
-                reply = replies[part]
-                counts[own] += np.frombuffer(reply["counts"], np.int64)
-                fans[own] += np.frombuffer(reply["fans"], np.int64)
-                pairs[arcs] = np.frombuffer(reply["pairs"], np.int64)
+                own_counts, own_fans, own_pairs = (
+                    np.frombuffer(value.as_buffer(), np.int64) for value in replies[part])
+                counts[own] += own_counts
+                fans[own] += own_fans
+                pairs[arcs] = own_pairs
             root = np.log10((counts[:-1] + 0.1) / lowest)
             mass = np.where(fans > 0, discount * fans / np.maximum(counts, 1), 1.0)
             first, second = chunk.bigrams // chunk.start, chunk.bigrams % chunk.start
@@ -327,7 +337,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
 
             n = len(chunk.lengths)
             out.append(pa.table({
-                "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": chunk.held_out,
+                "doc_id": doc_ids.values, "held_out": chunk.held_out,
                 "n_tokens": chunk.lengths, "n_known": total((counts[:-1] > 0).astype(np.int64)),
                 "train_tokens": np.full(n, tokens), "base_score": total(root), "score": scores}))
         return pa.concat_tables(out) if out else pa.schema(

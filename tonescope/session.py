@@ -93,6 +93,13 @@ def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[
                 spark.conf.set(key, value)
 
 
+def released_shuffles(spark: SparkSession):
+    """Inside, what a job has shuffled goes from disk when the job ends, and not only when the driver's
+    garbage is collected: for chains of written tables."""
+    return session_settings(
+        spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def remove_folders(spark: SparkSession, folders: list[str]) -> None:
     """Delete work folders, on whatever file system they are; a missing one is no error."""
     context = spark.sparkContext
