@@ -17,6 +17,8 @@ from .tokens import Encoder, default_tokenizer, slices
 
 STRIPE_BYTES = 64 << 20
 INDEX_ROWS = 1000
+#: Bytes of text encoded at a time. A task holds some thirty times as much for their ids.
+SLICE_BYTES = 2_000_000
 
 
 def encode(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, doc_id: str = "doc_id",
@@ -30,7 +32,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, doc_i
         encoder, before = Encoder(tokenizer), 0
         for batch in batches:
             texts = batch.column(1)
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE_BYTES):
                 ids, bounds = encoder.encode(texts.slice(a, b - a), end_id)
                 tokens = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)),
                                                   pa.array(ids.astype(np.int32)))
