@@ -1,5 +1,6 @@
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -144,3 +145,19 @@ def test_bitmaps_never_exclude_a_link(spark, messy, plain):
 def test_empty_tables(nothing):
     assert lm_scoring.score(nothing).count() == 0
     assert jaccard_join.similar_components(nothing).count() == 0
+
+
+def test_what_jobs_shuffle_goes_from_disk_before_the_result_is_used(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    docs = spark.createDataFrame(
+        [(n, " ".join(f"w{(n % 5) * 40 + i}" for i in range(30 + n % 3))) for n in range(60)],
+        "doc_id long, text string").repartition(3).localCheckpoint()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = disk.getAllFiles().size(), spark.conf.get(key)
+    result = jaccard_join.similar_components(docs)
+    for _ in range(50):
+        if disk.getAllFiles().size() <= before + 16:
+            break
+        time.sleep(0.1)
+    assert disk.getAllFiles().size() <= before + 16
+    assert spark.conf.get(key) == setting and result.count() == 60

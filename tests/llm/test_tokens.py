@@ -144,3 +144,19 @@ def test_empty_tables(spark, nothing, tmp_path):
     assert packing.pack(nothing).count() == 0
     orc_tokens.write_tokens(nothing, str(tmp_path / "none"))
     assert orc_tokens.token_digests(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_orc_tokens_are_encoded_few_texts_at_a_time(spark):
+    class Rows:
+        def __getitem__(self, name):
+            return F.lit(name)
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, ddl):
+            return run
+    texts = ["some words " * 90_000] * 8
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], names=["doc_id", "text"])
+    found = list(orc_tokens.encode(Rows())(iter([batch])))
+    assert sum(len(b) for b in found) == 8 and max(len(b) for b in found) <= 3
