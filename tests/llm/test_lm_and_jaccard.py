@@ -1,8 +1,9 @@
 import math
+import random
 import re
 import time
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -123,6 +124,40 @@ def test_tiles_meet_whatever_the_batches(spark):
     assert got == want and want
 
 
+def test_a_pair_that_meets_at_many_elements_is_named_once():
+    """Six near copies share twenty elements; two that share a late one only are too far apart."""
+    import pyarrow as pa
+    shared = list(range(100, 120))
+    prefixes = {node: [node, *shared] for node in range(6)} | {
+        6: [*range(200, 220), 300], 7: [*range(220, 240), 300], 8: [400, 500], 9: [401, 500]}
+    met = defaultdict(list)
+    for node, prefix in prefixes.items():
+        for pos, key in enumerate(prefix):
+            met[key].append((key, 0, 0, 0, node, 100, node, [0] * 16, pos, prefix[:jaccard_join.HEAD]))
+    names = ["key", "tile_a", "tile_b", "tile", "node", "n", "root", "bitmap", "pos", "head"]
+    rows = [row for key in sorted(met) for row in sorted(met[key]) if len(met[key]) > 1]
+    table = pa.table(dict(zip(names, map(list, zip(*rows)))))
+    found = [pair for batch in jaccard_join._met(table, jaccard_join._cells(table), 80)
+             for pair in zip(batch["a"].to_pylist(), batch["b"].to_pylist())]
+    assert sorted(found) == [(a, b) for a in range(6) for b in range(a + 1, 6)] + [(8, 9)]
+
+
+@pytest.mark.parametrize("k,percent,changed", [(3, 90, 4), (5, 80, 3)])
+def test_many_near_copies_around_the_limit(spark, k, percent, changed):
+    draw = random.Random(7)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for n in range(90):
+        text = list(base[:draw.randint(110, 150)])
+        for i in draw.sample(range(len(text)), draw.randint(0, changed)):
+            text[i] = f"x{draw.randint(0, 5) if n % 2 else n}"
+        rows.append((n, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.similar_components(docs, k, percent, tile=64).collect()
+    want = brute_components(rows, k, percent)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+    assert 1 < len({c for _, _, c in want}) < 90
+
+
 def test_chain_of_links(spark):
     """Neighbours are similar, the ends are not: one component."""
     line = [f"w{i}" for i in range(200)]

@@ -7,11 +7,13 @@ components that these links form.
    prefixes, whatever the order is; here a bounded number of frequent shingles come last.
 2. Documents with equal sets are one from here on.
 3. Documents that share a prefix element meet. Each is compared with the first of that element, and in
-   groups of more than a tile with one drawn for the element, so a group of thousands of near copies costs two
+   groups of more than CROWD with one drawn for the element, so a group of thousands of near copies costs two
    comparisons per document and element, not one per pair.
 4. Elements whose documents are still in different components are cut into tiles of neighbouring set
    sizes. Tiles whose sizes allow similarity t meet in numpy: the bits in which two bitmaps differ
-   are a lower bound of the different elements, so an upper bound of the overlap. Pairs that pass are
+   are a lower bound of the different elements, so an upper bound of the overlap; so is what follows
+   the first shared element in the order. A pair meets at every element that it shares, but is only named
+   where none of the shared ones among the first HEAD of both comes before. Pairs that pass are
    bounded once more by bitmaps that grow with the set, and only then intersected exactly, as sorted
    arrays.
 
@@ -36,6 +38,10 @@ from .words import WordHasher, distinct, mix, shingles
 BITMAP = 16
 #: Documents of a tile.
 TILE = 1024
+#: Documents of an element from which they also meet a drawn one.
+CROWD = 32
+#: First prefix elements that tell whether a pair has met before; more leave fewer repeated pairs.
+HEAD = 8
 #: Pairs of rows compared at a time.
 PAIRS = 1 << 18
 #: Bits per element of the larger bitmaps.
@@ -281,9 +287,12 @@ def connected(links: DataFrame, folder: str) -> DataFrame:
 def tile_candidates(rows: DataFrame, percent: int, tile: int) -> DataFrame:
     """Pairs ``a, b`` of different components in one group that sizes and bitmaps allow.
 
-    ``rows`` has ``key, node, n, root, bitmap``. Groups are cut into tiles along the set size, and
+    ``rows`` has ``key, node, n, root, bitmap``, and may have ``pos``, the key's place among the node's
+    elements, and ``head``, the first of those. Groups are cut into tiles along the set size, and
     tiles whose sizes are within the similarity meet, each meeting a group of its own.
     """
+    if "head" not in rows.columns:
+        rows = rows.withColumns({"pos": F.lit(0), "head": F.array().cast("array<long>")})
     order = Window.partitionBy("key").orderBy("n", "node")
     tiled = rows.withColumn("tile", F.floor((F.row_number().over(order) - 1) / tile).cast("int"))
     spans = tiled.groupBy("key", "tile").agg(F.min("n").alias("least"), F.max("n").alias("most"))
@@ -295,7 +304,7 @@ def tile_candidates(rows: DataFrame, percent: int, tile: int) -> DataFrame:
     sides = F.array_distinct(F.array("tile_a", "tile_b"))
     cells = meet.select("key", "tile_a", "tile_b", F.explode(sides).alias("tile"))
     dealt = (tiled.join(cells, ["key", "tile"])
-             .select("key", "tile_a", "tile_b", "tile", "node", "n", "root", "bitmap"))
+             .select("key", "tile_a", "tile_b", "tile", "node", "n", "root", "bitmap", "pos", "head"))
 
     def run(batches) -> Iterator:
         import pyarrow as pa
@@ -327,13 +336,22 @@ def _cells(table) -> np.ndarray:
 
 
 def _met(table, cell: np.ndarray, percent: int, pairs: int = PAIRS) -> Iterator:
-    """The pairs that sizes and bitmaps allow in whole cells, ordered by tile and size.
+    """The pairs that sizes, places and bitmaps allow in whole cells, ordered by tile and size.
 
     In a cell of one tile a row meets those behind it, else the first tile's rows meet the second's;
-    either way the others are ordered by size, and are no smaller."""
+    either way the others are ordered by size, and are no smaller. A pair that shares an earlier element
+    meets there too: it is left out where the heads show that."""
     import pyarrow as pa
-    node, n, root, tile, first, second = (
-        table[c].to_numpy() for c in ("node", "n", "root", "tile", "tile_a", "tile_b"))
+    import pyarrow.compute as pc
+    node, n, root, tile, first, second, pos = (
+        table[c].to_numpy() for c in ("node", "n", "root", "tile", "tile_a", "tile_b", "pos"))
+    heads = table["head"].combine_chunks()
+    heads = heads.chunk(0) if isinstance(heads, pa.ChunkedArray) else heads
+    held = pc.list_value_length(heads).to_numpy()
+    most_held = max(int(held.max()), 1)
+    head = np.zeros((len(n), most_held), np.int64)
+    head[np.arange(most_held) < held[:, None]] = heads.flatten().to_numpy()
+    earlier = np.arange(most_held) < np.minimum(held, pos)[:, None]
     flat = table["bitmap"].combine_chunks().flatten()
     bits = flat.to_numpy().view(np.uint64).reshape(-1, BITMAP)
     alone = first == second
@@ -353,13 +371,20 @@ def _met(table, cell: np.ndarray, percent: int, pairs: int = PAIRS) -> Iterator:
         b = start[a] + number - before[a]
         apart = root[a] != root[b]
         a, b = a[apart], b[apart]
+        # Where the first shared element stands, the overlap lies behind it.
         both = n[a] + n[b]
+        ahead = np.minimum(n[a] - pos[a], n[b] - pos[b]) * (100 + percent) >= both * percent
+        a, b, both = a[ahead], b[ahead], both[ahead]
         differ = np.zeros(len(a), np.int64)
         for column in range(BITMAP):
             differ += np.bitwise_count(bits[a, column] ^ bits[b, column])
         overlap = np.minimum((both - differ) / 2, n[a])
         keep = overlap * (100 + percent) >= both * percent
-        x, y = node[a[keep]], node[b[keep]]
+        a, b = a[keep], b[keep]
+        met = np.zeros(len(a), bool)
+        for i in range(most_held):
+            met |= earlier[a, i] & ((head[a, i][:, None] == head[b]) & earlier[b]).any(axis=1)
+        x, y = node[a[~met]], node[b[~met]]
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))],
                                          names=["a", "b"])
 
@@ -396,19 +421,20 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, lower: bo
         nodes = sketch.join(chosen, "row", "left_semi").withColumnRenamed("row", "node")
 
         # Prefix elements that several nodes have.
-        prefixes = nodes.select("node", "n", F.explode("prefix").alias("key"))
+        prefixes = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "key"))
         counted = prefixes.groupBy("key").agg(F.count("*").alias("c"),
                                               F.min(F.struct("node", "n")).alias("first"))
         counted = counted.where("c > 1").select("key", "c", "first.node", "first.n").toDF(
             "key", "c", "first", "first_n")
         prefixes.join(counted, "key").write.parquet(f"{folder}/shared")
         shared = spark.read.parquet(f"{folder}/shared")
-        nodes = nodes.select("node", "doc_id", "n", "low", "bitmap")
+        nodes = nodes.select("node", "doc_id", "n", "low", "bitmap", F.slice("prefix", 1, HEAD).alias("head"))
 
-        # The first of an element is often the same for all elements of a text. In groups of more than a tile,
-        # where many texts may be similar but not to that one, each also meets a drawn one, another for
-        # each element. More links found here leave fewer tiles to meet; the links are the same either way.
-        crowded = shared.where(F.col("c") > tile).select("key", "node", "n")
+        # The first of an element is often the same for all elements of a text. In large groups, where
+        # many texts may be similar but not to that one, each also meets a drawn one, another for
+        # each element. More links found here leave fewer pairs to the tiles, which else grow with the
+        # square of a group; the components are the same either way.
+        crowded = shared.where(F.col("c") > min(CROWD, tile)).select("key", "node", "n")
         drawn = crowded.groupBy("key").agg(F.min(F.struct(
             F.xxhash64("key", "node").alias("draw"), "node", "n")).alias("drawn"))
         drawn.select("key", "drawn.node", "drawn.n").toDF("key", "first", "first_n").write.parquet(
@@ -424,16 +450,19 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, lower: bo
         connected(links, f"{folder}/roots0").write.parquet(f"{folder}/rooted0")
         roots = spark.read.parquet(f"{folder}/rooted0")
 
-        placed = (shared.select("key", "node", "n").join(roots, "node", "left")
+        placed = (shared.select("key", "node", "n", "pos").join(roots, "node", "left")
                   .withColumn("root", F.coalesce("root", "node")))
         apart = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
         left = placed.join(apart.where("x <> y").select("key"), "key", "left_semi")
-        # A node whose neighbours in size are both too far has nobody of its size in the group.
+        # A node without another of its size in the group is done. Of two, the smaller has enough elements
+        # from the key on for one of its own size.
         order = Window.partitionBy("key").orderBy("n", "node")
-        near = (F.coalesce(F.lag("n").over(order) * 100 >= F.col("n") * percent, F.lit(False))
-                | F.coalesce(F.col("n") * 100 >= F.lead("n").over(order) * percent, F.lit(False)))
+        early = (F.col("n") - F.col("pos")) * (100 + percent) >= F.col("n") * (2 * percent)
+        smaller = F.max(F.when(early, F.col("n"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+        near = (F.coalesce(smaller * 100 >= F.col("n") * percent, F.lit(False))
+                | (early & F.coalesce(F.col("n") * 100 >= F.lead("n").over(order) * percent, F.lit(False))))
         left = left.withColumn("near", near).where("near").drop("near")
-        left = left.join(nodes.select("node", "bitmap"), "node")
+        left = left.join(nodes.select("node", "bitmap", "head"), "node")
         rest = tile_candidates(left, percent, tile)
         links = links.unionByName(linked(rest, nodes, texts, k, percent, lower, f"{folder}/rest"))
         connected(links, f"{folder}/roots1").write.parquet(f"{folder}/rooted1")
