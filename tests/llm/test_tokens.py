@@ -160,3 +160,32 @@ def test_orc_tokens_are_encoded_few_texts_at_a_time(spark):
     batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], names=["doc_id", "text"])
     found = list(orc_tokens.encode(Rows())(iter([batch])))
     assert sum(len(b) for b in found) == 8 and max(len(b) for b in found) <= 3
+
+
+def test_orc_tokens_of_later_tasks_know_the_pieces_of_earlier_ones(spark, library, monkeypatch):
+    class Rows:
+        def __getitem__(self, name):
+            return F.lit(name)
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, ddl):
+            return run
+    texts = ["the kept words, and kept-apart ones (17)!", "Kept: \u65e5\u672c \u0250b  two", None, "the"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(texts)], names=["doc_id", "text"])
+    run, calls = orc_tokens.encode(Rows()), []
+    first = list(run(iter([batch])))
+    monkeypatch.setattr(Encoder, "_learn", lambda self: calls.append(len(self.index) - self.known))
+    second = list(run(iter([batch])))
+    assert sum(calls) == 0 and calls and second == first
+    assert second[0].column(2).to_pylist() == [library(t or "") + [0] for t in texts]
+
+
+def test_pieces_are_cut_and_encoded_like_whole_texts(encoder, library):
+    """Words before punctuation, bytes of every kind, and more pre-tokens than go to the library at once."""
+    texts = [" ".join(f"q{a}{b}{c}." for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrstuvwxyz"
+                      for c in "abcdefghijklmnopqrstuvwxyz0123456789"),
+             "a. b, .c ;. d.. \u00e9: \u00ff \u00fe\u00ff! x\u00ff. \u01c5? \u00aa. 3. \u0250. \u00b2! '. \u0120, ."]
+    ids, bounds = encoder.encode(texts, 7)
+    assert [list(ids[a:b]) for a, b in zip(bounds, bounds[1:])] == [library(t) + [7] for t in texts]

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tokens import Encoder, default_tokenizer, slices
+from .tokens import default_tokenizer, kept_encoder, slices
 
 STRIPE_BYTES = 64 << 20
 INDEX_ROWS = 1000
@@ -29,7 +29,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, doc_i
 
     def run(batches) -> Iterator:
         import pyarrow as pa
-        encoder, before = Encoder(tokenizer), 0
+        encoder, before = kept_encoder(tokenizer), 0
         for batch in batches:
             texts = batch.column(1)
             for a, b in slices(texts, SLICE_BYTES):

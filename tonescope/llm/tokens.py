@@ -3,19 +3,22 @@
 ``Encoder`` returns the ids of ``Tokenizer.encode(text, add_special_tokens=False)`` of a byte-level
 BPE file. The model only ever looks at one pre-token (a word with its leading space) at a time, so a
 text may be cut before a space that follows a visible character. Arrow cuts the texts and tells equal
-pieces; only distinct pieces become Python objects, and each goes through the library once per task.
+pieces; only distinct pieces become Python objects, and each goes through the library once per encoder.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import compress, count, islice
 
 import numpy as np
 
-#: Distinct pieces that a task remembers before it starts afresh (some 200 MB).
+#: Distinct pieces that an encoder remembers before it starts afresh (some 200 MB).
 REMEMBERED = 600_000
+#: Pre-tokens of one call of the library.
+BLOCK = 16_384
 #: The library's pre-token pattern is repeated here for text below this character, whose classes
 #: are the same in all versions of Unicode. Other pieces go to the library whole.
 SETTLED = "ɐ"
@@ -46,6 +49,8 @@ class Encoder:
         self.whole.encode_special_tokens = ordinary
         self.model = Tokenizer(self.whole.model)
         self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        # Every pre-token goes there once: the model's own memory of words would only cost time.
+        self.model.model._resize_cache(0)
         # Fixed value: the pattern of the byte-level pre-tokenizer.
         self.pretokens = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
@@ -55,7 +60,10 @@ class Encoder:
         printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
         others = [b for b in range(256) if b not in printable]
         self.alphabet = {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
-        self.alphabet[255] = " "
+        # No text has the bytes 254 and 255: they become the space between two words, and a word whose id
+        # tells where each word ends.
+        self.alphabet[254] = " "
+        self.stop = self.model.token_to_id(chr(self.alphabet[255]))
         self._forget()
 
     def _forget(self) -> None:
@@ -78,32 +86,35 @@ class Encoder:
             if piece[1:].isalpha() and piece[0] == " " or not (piece and settled(piece)):
                 wanted.append(pre[piece])
                 per_piece.append(1)
+            elif piece[-1] in ".,;:!?" and piece[1:-1].isalpha() and piece[0] == " ":
+                wanted += (pre[piece[:-1]], pre[piece[-1]])
+                per_piece.append(2)
             else:
                 found = self.pretokens(piece)
                 wanted += [pre[p] for p in found]
                 per_piece.append(len(found))
-        self.known = len(self.index)
         self._learn_pretokens()
         flat, lengths = _gathered(self.pre_ids[0], self.pre_sizes[0], np.array(wanted, np.int64))
         bounds = np.concatenate([[0], np.cumsum(lengths)])
         ends = bounds[np.cumsum(np.array(per_piece, np.int64))]
         self.sizes.append(np.diff(ends, prepend=0))
         self.ids.append(flat)
+        self.known = len(self.index)
 
     def _learn_pretokens(self) -> None:
         new = list(islice(self.pre, sum(map(len, self.pre_sizes)), None))
-        other = np.fromiter((not (p and self._settled(p)) for p in new), bool, len(new))
+        other = np.array([not p or not p.isascii() and max(p) >= SETTLED for p in new], bool)
+        other |= self.stop is None
         mapped = [p.encode() for p in compress(new, ~other)] if other.any() else [
             p.encode() for p in new]
         sizes, ids = [], []
-        for at in range(0, len(mapped), 4096):
-            # No text has the byte 255: it becomes the space between two words.
-            block = b"\xff".join(mapped[at:at + 4096])
-            got = self.model.encode_batch([block.decode("latin1").translate(self.alphabet)],
-                                          add_special_tokens=False)[0]
-            sizes.append(np.bincount(np.array(got.word_ids, np.int64),
-                                     minlength=min(4096, len(mapped) - at)))
-            ids.append(np.array(got.ids, np.uint32))
+        for at in range(0, len(mapped), BLOCK):
+            block = b"\xfe\xff\xfe".join([*mapped[at:at + BLOCK], b""])
+            got = np.array(self.model.encode_batch_fast(
+                [block.decode("latin1").translate(self.alphabet)], add_special_tokens=False)[0].ids, np.uint32)
+            stops = got == self.stop
+            sizes.append(np.diff(np.flatnonzero(stops), prepend=-1) - 1)
+            ids.append(got[~stops])
         if other.any():  # back to the order of ``new``
             flat = np.concatenate([*ids, np.empty(0, np.uint32)])
             bounds = np.cumsum(np.concatenate([[0], *sizes]).astype(np.int64))
@@ -175,6 +186,12 @@ class Encoder:
         return flat, bounds
 
 
+@lru_cache(maxsize=1)
+def kept_encoder(tokenizer: str) -> Encoder:
+    """The encoder of a Python worker, with the pieces that its earlier tasks have met."""
+    return Encoder(tokenizer)
+
+
 def _gathered(flat: np.ndarray, sizes: np.ndarray, wanted: np.ndarray):
     """The wanted stretches of ``flat`` one after another, and their sizes."""
     starts = np.cumsum(sizes) - sizes
