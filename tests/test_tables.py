@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tonescope.operators.halving import SEGMENT, halving_average
 from tonescope.plans import relations as batch_relations
 from tonescope.plans.weekly_tone import weekly_halving_average
-from tonescope.sources import committed, files, levels, lines
+from tonescope.sources import committed, deliveries, files, levels, lines
 from tonescope.sources.deliveries import deliver_file, numbered_lines, play_deliveries
 from tonescope.streaming import daily, relations, running, sinks, weekly
 from tonescope.streaming.jobs import event_table_job, relations_job, running_relations_job
@@ -295,6 +295,31 @@ def test_lines_are_numbered_in_the_order_of_the_file(spark, tmp_path, rows, bloc
     assert found.agg(F.max("line_number")).first()[0] == 299
 
 
+def test_large_files_are_cut_into_larger_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(deliveries, "BLOCKS", 10, raising=False)
+    texts = [f"{n}\t" + "é" * (n % 13) for n in range(2000)]
+    (tmp_path / "a.csv").write_text("\n".join(texts[:1500]) + "\n")
+    (tmp_path / "b.csv").write_text("\n".join(texts[1500:]))
+    found = numbered_lines(spark, f"{tmp_path}/*.csv", 128)
+    assert 8 <= found.select(F.spark_partition_id()).distinct().count() <= 12
+    assert [r.value for r in found.orderBy("line_number").collect()] == texts
+    landing = tmp_path / "landing"
+    assert deliver_file(spark, f"{tmp_path}/*.csv", str(landing), 300, block_bytes=128) == 7
+    assert len(list(landing.glob("delivery=*/part-*"))) <= 12 + 6
+    for n in range(7):
+        dealt = spark.read.text(f"{landing}/delivery={n}").collect()
+        assert sorted(r.value for r in dealt) == sorted(texts[300 * n:300 * n + 300])
+
+
+def test_blocks_are_cut_neither_below_the_least_nor_above_the_usual_size(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("x" * 999 + "\n")
+    monkeypatch.setattr(deliveries, "BLOCKS", 10, raising=False)
+    cut = lambda least: deliveries._cut(spark, str(tmp_path), least)
+    assert (cut(7), cut(100), cut(5000)) == (100, 100, 5000)
+    monkeypatch.setattr(deliveries, "USUAL_BLOCK", 30)
+    assert (cut(7), cut(50)) == (30, 50)
+
+
 def test_every_line_is_in_one_delivery(spark, tmp_path, rows):
     (tmp_path / "feed.csv").write_text("".join(f"{n}\n" for n in range(100)))
     landing = str(tmp_path / "landing")

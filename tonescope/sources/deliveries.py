@@ -16,14 +16,19 @@ from ..session import work_folder
 from .files import read_lines, stream_lines
 
 DELIVERY, NUMBER = "delivery", "line_number"
+#: Blocks that large files are cut into, about, until these blocks have the usual size: each costs a
+#: task per reading and a file per delivery it touches.
+BLOCKS = 1000
+USUAL_BLOCK = 128 << 20
 
 
-def numbered_lines(spark: SparkSession, path: str, block_bytes: int = 128 << 20) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str, block_bytes: int = USUAL_BLOCK) -> DataFrame:
     """``value, line_number`` of the lines of a file, from 0 in the order of the file.
 
     The lines of several files are numbered in the order of their paths. Every task counts the lines
     of its blocks of the file; prefix sums over the blocks, a slim table, then number all lines without
-    a shuffle of their texts. The file is read twice.
+    a shuffle of their texts. The file is read twice. ``block_bytes`` is the least size of a block:
+    large files are cut into larger ones (``_cut``).
     """
     return _number(spark, path, block_bytes)[0]
 
@@ -32,7 +37,7 @@ def _number(spark: SparkSession, path: str, block_bytes: int) -> tuple[DataFrame
     """The numbered lines, and how many they are."""
     # Both readings must cut the file alike. The number of executors, which may change meanwhile,
     # must not count: a session of its own fixes the size of a block.
-    session = spark.newSession()
+    session, block_bytes = spark.newSession(), _cut(spark, path, block_bytes)
     for key, value in (("maxPartitionBytes", block_bytes), ("minPartitionNum", 1),
                        ("openCostInBytes", min(block_bytes, 4 << 20))):
         session.conf.set(f"spark.sql.files.{key}", str(value))
@@ -62,8 +67,15 @@ def _number(spark: SparkSession, path: str, block_bytes: int) -> tuple[DataFrame
     return numbered, counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+def _cut(spark: SparkSession, path: str, least: int) -> int:
+    """The size of a block: ``least``, or as much more, up to the usual size, as makes BLOCKS of all files."""
+    # Of files read so, Spark looks up the lengths and not the contents.
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    return max(least, min(-(-size // BLOCKS), USUAL_BLOCK))
+
+
 def deliver_file(spark: SparkSession, path: str, landing: str, lines_per_delivery: int,
-                 block_bytes: int = 128 << 20) -> int:
+                 block_bytes: int = USUAL_BLOCK) -> int:
     """Deal the lines of a file to ``landing/delivery=N``, so many to each; the number of deliveries.
 
     Every task writes the deliveries that its blocks touch, without a shuffle.

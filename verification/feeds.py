@@ -95,7 +95,12 @@ def cells() -> dict[str, Column]:
 
 
 def event_lines(spark: SparkSession, sf_dir: str, *kept: str) -> DataFrame:
-    return events(spark, sf_dir).select(F.concat_ws("\t", *cells().values()).alias("value"), *kept)
+    return lines_of(events(spark, sf_dir), *kept)
+
+
+def lines_of(rows: DataFrame, *kept: str) -> DataFrame:
+    """The event lines of ``rows`` of ``events``, in their order."""
+    return rows.select(F.concat_ws("\t", *cells().values()).alias("value"), *kept)
 
 
 def quarters(spark: SparkSession, sf_dir: str) -> DataFrame:

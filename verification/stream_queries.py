@@ -120,9 +120,10 @@ def weekly_halving_file_stream(spark, sf_dir):
     dealt to six deliveries."""
     file, landing, output = (work_folder(spark, name) for name in ("file", "landing", "output"))
     checkpoint, n = work_folder(spark, "checkpoint"), feeds.events(spark, sf_dir).count()
-    given = feeds.event_lines(spark, sf_dir, "event_id").repartitionByRange(
+    # Rows go through the shuffle, and its sampling, and become lines behind it.
+    given = feeds.events(spark, sf_dir).repartitionByRange(
         max(-(-n // feeds.FILE_LINES), 1), "event_id").sortWithinPartitions("event_id")
-    given.select("value").write.text(file)
+    feeds.lines_of(given).write.text(file)
     count = deliver_file(spark, file, landing, -(-n // feeds.DELIVERIES), block_bytes=1 << 16)
 
     def start(stream):
